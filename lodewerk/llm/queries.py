@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, orderminhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": decontaminate.query,
+    "op10_order_minhash": orderminhash.query,
 }
 ORACLES: dict[str, str] = {}
