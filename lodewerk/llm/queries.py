@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, orderminhash
+from . import decontaminate, orderminhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": toxicity.query,
     "op5_decontaminate": decontaminate.query,
     "op10_order_minhash": orderminhash.query,
 }
