@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, orderminhash, toxicity
+from . import decontaminate, orderminhash, suffixdedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": toxicity.query,
     "op5_decontaminate": decontaminate.query,
+    "op6_suffix_dedup": suffixdedup.query,
     "op10_order_minhash": orderminhash.query,
 }
 ORACLES: dict[str, str] = {}

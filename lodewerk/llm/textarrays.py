@@ -165,7 +165,7 @@ def split_by(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def size_in_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a plan's size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def buckets_for(df: DataFrame, each: int = 4 << 20, least: int = 12) -> int:
