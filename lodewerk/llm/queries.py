@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, orderminhash, suffixdedup, toxicity
+from . import bm25pack, decontaminate, orderminhash, suffixdedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bm25_packing": bm25pack.query,
     "op4_toxicity": toxicity.query,
     "op5_decontaminate": decontaminate.query,
     "op6_suffix_dedup": suffixdedup.query,
