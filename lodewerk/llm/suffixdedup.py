@@ -247,8 +247,9 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS, max_filter: int = MAX_FILT
     """(doc_id, mark, first_word, end_word): the words that repeat an earlier passage, disjoint stretches by document; ``mark`` tells texts of one id apart."""
     keyed = ta.keyed(docs)
     spark = docs.sparkSession
-    shards = ta.buckets_for(docs)
-    size = min(max(ta.size_in_bytes(docs) // 64, 1 << 16), max_filter)
+    text = ta.text_bytes(docs)
+    shards = ta.buckets_for(text)
+    size = min(max(text // 100, 1 << 16), max_filter)
     each = max(1, size // shards)
     shared = spark.sparkContext.broadcast(repeated_filter(keyed, min_words, shards, size))
 

@@ -163,14 +163,14 @@ def split_by(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(n + 1))
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of a plan's size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def text_bytes(docs: DataFrame) -> int:
+    """The bytes of all texts: one scan of one column."""
+    return docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first().n or 0
 
 
-def buckets_for(df: DataFrame, each: int = 4 << 20, least: int = 12) -> int:
-    """How many buckets a shuffle of this input needs so that each covers about ``each`` bytes of it."""
-    return int(min(max(least, -(-size_in_bytes(df) // each)), 1 << 20))
+def buckets_for(size: int, each: int = 8 << 20, least: int = 12) -> int:
+    """How many buckets a shuffle of so many bytes needs so that each covers about ``each`` of them."""
+    return max(least, -(-size // each))
 
 
 def ints(values: np.ndarray) -> pa.Array:
