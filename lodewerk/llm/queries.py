@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bm25pack, decontaminate, orderminhash, suffixdedup, toxicity
+from . import bm25pack, decontaminate, loglm, orderminhash, suffixdedup, syncmers, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_log_frequency_lm": loglm.query,
     "op3_bm25_packing": bm25pack.query,
     "op4_toxicity": toxicity.query,
     "op5_decontaminate": decontaminate.query,
     "op6_suffix_dedup": suffixdedup.query,
+    "op8_closed_syncmers": syncmers.query,
     "op10_order_minhash": orderminhash.query,
 }
 ORACLES: dict[str, str] = {}
