@@ -108,7 +108,7 @@ def sketches_of(words: ta.Words, sketches: int = SKETCHES) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, sketch, words, tokens): one row per document with id and text; tokens packed."""
+    """(doc_id, digest, mark, sketch, words, tokens): one row per document with id and text; tokens packed, mark a part of the digest."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
@@ -120,14 +120,60 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sketches = [x.view(np.int64) for x in sketches_of(words)]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*sketches, np.zeros(0, np.int64)])))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), lists, ta.ints(words.counts), pa.array(blobs, pa.binary())], ["doc_id", "digest", "sketch", "words", "tokens"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), batch.column(3).slice(lo, n), lists, ta.ints(words.counts), pa.array(blobs, pa.binary())], ["doc_id", "digest", "mark", "sketch", "words", "tokens"])
 
     has = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    return has.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.unhex(F.sha2(F.col("text"), 256)).alias("digest"), F.col("text").cast("string").alias("text")).mapInArrow(scan, "doc_id bigint, digest binary, sketch array<bigint>, words bigint, tokens binary")
+    return has.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.unhex(F.sha2(F.col("text"), 256)).alias("digest"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("mark")).mapInArrow(scan, "doc_id bigint, digest binary, mark bigint, sketch array<bigint>, words bigint, tokens binary")
+
+
+def distances(pairs: list[tuple[np.ndarray, np.ndarray]], most: np.ndarray) -> np.ndarray:
+    """The edit distances of pairs of token sequences, or ``most`` + 1 where they are more.
+
+    Common ends are stripped and pairs that must differ too much by their words
+    alone set aside; the others are aligned many at a time in a band that
+    widens fourfold up to ``most``.
+    """
+    result = np.empty(len(pairs), np.int64)
+    rest: list[tuple[np.ndarray, np.ndarray]] = []
+    todo = []
+    for i, (a, b) in enumerate(pairs):
+        a, b = _strip(a, b)
+        gap = len(b) - len(a)
+        if not len(a) or gap > most[i]:
+            result[i] = min(gap, most[i] + 1)
+        else:
+            rest.append((a, b))
+            todo.append(i)
+    places = np.array(todo, np.int64)
+    if not len(places):
+        return result
+    limit = most[places]
+    alive = _word_bound(rest, limit) <= limit
+    result[places[~alive]] = limit[~alive] + 1
+    left, band = np.flatnonzero(alive), 12
+    while len(left):
+        size = np.array([len(rest[i][0]) for i in left])
+        left = left[np.argsort(-size, kind="stable")]
+        gap = np.array([len(rest[i][1]) - len(rest[i][0]) for i in left])
+        wide = gap <= band
+        now, again = left[wide], [left[~wide]]
+        lo = 0
+        while lo < len(now):
+            each = 2 * len(rest[now[lo]][0]) + 4 * band + 3
+            hi = lo + max(1, (1 << 20) // each)
+            part = now[lo:hi]
+            found = _banded([rest[i] for i in part], band)
+            done = (found <= band) | (band >= limit[part])
+            result[places[part[done]]] = np.minimum(found, limit[part] + 1)[done]
+            again.append(part[~done])
+            lo = hi
+        left = np.concatenate(again)
+        band *= 4
+    return result
 
 
-def distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """The edit distance of two token sequences, or ``most`` + 1 if it is more; alignment in a band that widens fourfold up to ``most``."""
+def _strip(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without what both begin and end with; the shorter first."""
     n = min(len(a), len(b))
     same = a[:n] == b[:n]
     head = n if same.all() else int(np.argmin(same))
@@ -137,95 +183,100 @@ def distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
         same = a[::-1][:n] == b[::-1][:n]
         tail = n if same.all() else int(np.argmin(same))
         a, b = a[: len(a) - tail], b[: len(b) - tail]
-    if len(a) > len(b):
-        a, b = b, a
-    gap = len(b) - len(a)
-    if not len(a) or gap > most:
-        return min(gap, most + 1)
-    # words without a partner have to be edited in any alignment
-    va, ca = np.unique(a, return_counts=True)
-    vb, cb = np.unique(b, return_counts=True)
-    _, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
-    if len(b) - int(np.minimum(ca[ia], cb[ib]).sum()) > most:
-        return most + 1
-    band = max(8, gap)
-    while True:
-        band = min(band, most)
-        d = _banded(a, b, band)
-        if d <= band or band >= most:
-            return min(d, most + 1)
-        band *= 4
+    return (a, b) if len(a) <= len(b) else (b, a)
+
+
+def _word_bound(pairs: list[tuple[np.ndarray, np.ndarray]], limit: np.ndarray, buckets: int = 4096) -> np.ndarray:
+    """A lower bound of each distance: words of the longer without a partner in the shorter, whatever their order."""
+    out = np.empty(len(pairs), np.int64)
+    for lo in range(0, len(pairs), 64):
+        part = pairs[lo : lo + 64]
+        counts = []
+        for side in (0, 1):
+            tokens = np.concatenate([p[side] for p in part])
+            row = np.repeat(np.arange(len(part)), [len(p[side]) for p in part])
+            counts.append(np.bincount(row * buckets + (tokens & np.uint32(buckets - 1)).astype(np.int64), minlength=len(part) * buckets).reshape(len(part), buckets))
+        out[lo : lo + 64] = np.array([len(p[1]) for p in part]) - np.minimum(*counts).sum(axis=1)
+    return out
+
 
+def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
+    """The cost of the best alignment of each pair that keeps within ``band`` of the diagonal; exact where it is ``band`` or less.
 
-def _banded(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """The cost of the best alignment that keeps within ``band`` of the diagonal; exact if it is ``band`` or less."""
-    width = 2 * band + 1
-    far = np.int32(1 << 29)
+    Pairs come with the shorter sequence first and the longest such first.
+    """
+    rows, width = np.array([len(a) for a, _ in pairs]), 2 * band + 1
+    n, longest = len(pairs), max(len(b) for _, b in pairs)
+    left = np.zeros((n, rows[0]), np.int64)
+    right = np.full((n, max(longest, rows[0]) + width), -1, np.int64)
+    for i, (a, b) in enumerate(pairs):
+        left[i, : len(a)] = a
+        right[i, band : band + len(b)] = b
     slope = np.arange(width, dtype=np.int32)
-    padded = np.full(len(a) + len(b) + 2 * width, -1, np.int64)
-    padded[band : band + len(b)] = b
-    row = np.where(slope >= band, slope - band, far).astype(np.int32)  # cell c of row i is column i + c - band of b
-    row[slope - band > len(b)] = far
-    for i in range(len(a)):
-        change = row + (padded[i : i + width] != a[i])
-        drop = np.empty_like(row)
-        drop[:-1], drop[-1] = row[1:] + 1, far
-        now = np.minimum(change, drop)
-        column = i + 1 + slope - band
-        now[(column < 0) | (column > len(b))] = far
-        if i + 1 <= band:
-            now[band - i - 1] = min(now[band - i - 1], i + 1)
-        row = (np.minimum.accumulate(now - slope) + slope).astype(np.int32)
-        row[column > len(b)] = far
-    end = len(b) - len(a) + band
-    return int(row[end]) if 0 <= end < width else int(far)
+    row = np.repeat(np.where(slope >= band, slope - band, 1 << 28).astype(np.int32)[None], n, axis=0)
+    live = n
+    for i in range(rows[0]):  # cell c of row i stands for i words of a and i + c - band of b
+        while rows[live - 1] <= i:
+            live -= 1
+        old = row[:live]
+        new = old + (right[:live, i : i + width] != left[:live, i, None])
+        np.minimum(new[:, :-1], old[:, 1:] + 1, out=new[:, :-1])
+        new -= slope
+        np.minimum.accumulate(new, axis=1, out=new)
+        new += slope
+        row[:live] = new
+    end = np.array([len(b) - len(a) + band for a, b in pairs])
+    return row[np.arange(n), end].astype(np.int64)
 
 
 def similar(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (src, dst) those that alignment confirms."""
+    """Of pairs (src, src_mark, dst, dst_mark) those (src, dst) that alignment confirms."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
-        last: tuple = (None, None)
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            src, left, right = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2), batch.column(3)
-            for i in range(batch.num_rows):
-                if src[i] != last[0]:
-                    last = (src[i], np.frombuffer(unpress.decompress(left[i].as_py()), np.uint32))
-                a, b = last[1], np.frombuffer(unpress.decompress(right[i].as_py()), np.uint32)
-                longer = max(len(a), len(b))
-                most = int((1 - threshold) * longer + 1e-9)
-                keep[i] = distance(a, b, most) <= most
+            for lo in range(0, batch.num_rows, 1024):
+                sides = [[np.frombuffer(unpress.decompress(x), np.uint32) for x in batch.column(c).slice(lo, 1024).to_pylist()] for c in (2, 3)]
+                longer = np.maximum(*[np.array([len(x) for x in side]) for side in sides])
+                most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
+                keep[lo : lo + 1024] = distances(list(zip(*sides, strict=True)), most) <= most
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["src", "dst"]).filter(pa.array(keep))
 
-    a = tokens.select(F.col("doc_id").alias("src"), F.col("tokens").alias("a"), F.col("words").alias("na"))
-    b = tokens.select(F.col("doc_id").alias("dst"), F.col("tokens").alias("b"), F.col("words").alias("nb"))
-    sized = pairs.join(a.select("src", "na"), "src").join(b.select("dst", "nb"), "dst").filter(F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9).select("src", "dst")
-    return sized.join(a.select("src", "a"), "src").join(b.select("dst", "b"), "dst").select("src", "dst", "a", "b").mapInArrow(align, "src bigint, dst bigint")
+    a = tokens.select(F.col("doc_id").alias("src"), F.col("mark").alias("src_mark"), F.col("tokens").alias("a"))
+    b = tokens.select(F.col("doc_id").alias("dst"), F.col("mark").alias("dst_mark"), F.col("tokens").alias("b"))
+    return pairs.join(a, ["src", "src_mark"]).join(b, ["dst", "dst_mark"]).select("src", "dst", "a", "b").mapInArrow(align, "src bigint, dst bigint")
 
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, group_id) of all documents that have near copies; the group's id is its least document id."""
     signed = cut(signatures(docs))
-    # a repeated id counts once
+    tokens = signed.select("doc_id", "mark", "tokens")
+    # a repeated id counts once; of equal texts one is sketched on
     once = signed.groupBy("doc_id").agg(F.min("digest").alias("digest"))
-    texts = signed.groupBy("digest").agg(F.min_by("sketch", "doc_id").alias("sketch"))
+    texts = signed.groupBy("digest").agg(F.first("sketch").alias("sketch"), F.first("words").alias("words"), F.first("mark").alias("mark"))
     reps = once.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     exact = once.join(reps, "digest").filter("doc_id <> rep").select(F.col("rep").alias("src"), F.col("doc_id").alias("dst"))
-    bands = cut(reps.join(texts, "digest").select("rep", F.explode("sketch").alias("pick")))
-    least = bands.groupBy("pick").agg(F.min("rep").alias("src"), F.max("rep").alias("high")).filter("src < high").drop("high")
-    star = bands.join(least, "pick").filter("rep > src").select("src", F.col("rep").alias("dst")).distinct()
-    tokens = signed.join(reps.withColumnRenamed("rep", "doc_id"), ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    bands = reps.join(texts, "digest").select("rep", "mark", "words", F.explode("sketch").alias("pick"))
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs of which the lengths allow it, each once."""
+        return pairs.filter(F.least("src_words", "dst_words") >= threshold * F.greatest("src_words", "dst_words") - 1e-9).select("src", "src_mark", "dst", "dst_mark").distinct()
+
+    def end(name: str) -> list:
+        return [F.col("rep").alias(name), F.col("mark").alias(f"{name}_mark"), F.col("words").alias(f"{name}_words")]
+
+    least = bands.groupBy("pick").agg(F.min(F.struct(*end("src"))).alias("least"), F.max("rep").alias("high")).filter("least.src < high").select("pick", "least.*")
+    star = close(bands.join(least, "pick").filter("rep > src").select("src", "src_mark", "src_words", *end("dst")))
     first = cut(similar(star, tokens, threshold))
-    apart = connected_components(first)
-    named = bands.join(apart.select(F.col("id").alias("rep"), "component"), "rep", "left").select("pick", "rep", F.coalesce("component", "rep").alias("part"))
+    parts = cut(connected_components(first))
+    named = bands.join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
     mixed = named.groupBy("pick").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("pick")
-    named = cut(named.join(mixed, "pick", "left_semi"))
-    other = named.select("pick", F.col("rep").alias("rep2"), F.col("part").alias("part2"))
-    crossed = named.join(other, "pick").filter("part < part2").select(F.least("rep", "rep2").alias("src"), F.greatest("rep", "rep2").alias("dst")).distinct()
-    second = similar(crossed.join(star, ["src", "dst"], "left_anti"), tokens, threshold)
-    edges = exact.unionByName(first).unionByName(second)
+    named = named.join(mixed, "pick", "left_semi")
+    one, other = named.select("pick", *end("src"), F.col("part").alias("p")), named.select("pick", *end("dst"), F.col("part").alias("q"))
+    crossed = close(one.join(other, "pick").filter("p <> q and src < dst").drop("pick", "p", "q")).join(star, ["src", "dst"], "left_anti")
+    second = similar(crossed, tokens, threshold)
+    edges = exact.unionByName(parts.select(F.col("id").alias("src"), F.col("component").alias("dst"))).unionByName(second)
     return connected_components(edges).select(F.col("id").alias("doc_id"), F.col("component").alias("group_id"))
 
 
