@@ -31,16 +31,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components, cut
 from . import textarrays as ta
 
 THRESHOLD = 0.8
-SKETCHES = 32
+SKETCHES = 24
 PICK = 2
 SHORT = 40
+MAX_BROADCAST = 64 << 20
 U64 = np.uint64
 _rng = np.random.default_rng(77)
 _XOR = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -243,6 +244,10 @@ def similar(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
                 keep[lo : lo + 1024] = distances(list(zip(*sides, strict=True)), most) <= most
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["src", "dst"]).filter(pa.array(keep))
 
+    ids = pairs.select(F.col("src").alias("doc_id"), F.col("src_mark").alias("mark")).union(pairs.select("dst", "dst_mark")).distinct()
+    # ids take 16 bytes: below the bound they go to the tokens, beyond it both are shuffled
+    if ids.count() * 16 <= MAX_BROADCAST:
+        tokens = tokens.join(F.broadcast(ids), ["doc_id", "mark"], "left_semi")
     a = tokens.select(F.col("doc_id").alias("src"), F.col("mark").alias("src_mark"), F.col("tokens").alias("a"))
     b = tokens.select(F.col("doc_id").alias("dst"), F.col("mark").alias("dst_mark"), F.col("tokens").alias("b"))
     return pairs.join(a, ["src", "src_mark"]).join(b, ["dst", "dst_mark"]).select("src", "dst", "a", "b").mapInArrow(align, "src bigint, dst bigint")
@@ -258,23 +263,25 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     reps = once.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     exact = once.join(reps, "digest").filter("doc_id <> rep").select(F.col("rep").alias("src"), F.col("doc_id").alias("dst"))
     bands = reps.join(texts, "digest").select("rep", "mark", "words", F.explode("sketch").alias("pick"))
+    bucket = Window.partitionBy("pick")
+    # one shuffle: each member of a bucket of several learns the least
+    members = bands.withColumn("least", F.min(F.struct("rep", "mark", "words")).over(bucket)).withColumn("high", F.max("rep").over(bucket))
+    members = cut(members.filter("least.rep < high").select("pick", "rep", "mark", "words", "least"))
 
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs of which the lengths allow it, each once."""
         return pairs.filter(F.least("src_words", "dst_words") >= threshold * F.greatest("src_words", "dst_words") - 1e-9).select("src", "src_mark", "dst", "dst_mark").distinct()
 
-    def end(name: str) -> list:
-        return [F.col("rep").alias(name), F.col("mark").alias(f"{name}_mark"), F.col("words").alias(f"{name}_words")]
+    def end(name: str, of: str = "") -> list:
+        return [F.col(f"{of}rep").alias(name), F.col(f"{of}mark").alias(f"{name}_mark"), F.col(f"{of}words").alias(f"{name}_words")]
 
-    least = bands.groupBy("pick").agg(F.min(F.struct(*end("src"))).alias("least"), F.max("rep").alias("high")).filter("least.src < high").select("pick", "least.*")
-    star = close(bands.join(least, "pick").filter("rep > src").select("src", "src_mark", "src_words", *end("dst")))
+    star = cut(close(members.filter("rep > least.rep").select(*end("src", "least."), *end("dst"))))
     first = cut(similar(star, tokens, threshold))
     parts = cut(connected_components(first))
-    named = bands.join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
-    mixed = named.groupBy("pick").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("pick")
-    named = named.join(mixed, "pick", "left_semi")
+    named = members.drop("least").join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+    named = named.withColumn("p", F.min("part").over(bucket)).withColumn("q", F.max("part").over(bucket)).filter("p < q").drop("p", "q")
     one, other = named.select("pick", *end("src"), F.col("part").alias("p")), named.select("pick", *end("dst"), F.col("part").alias("q"))
-    crossed = close(one.join(other, "pick").filter("p <> q and src < dst").drop("pick", "p", "q")).join(star, ["src", "dst"], "left_anti")
+    crossed = cut(close(one.join(other, "pick").filter("p <> q and src < dst")).join(star, ["src", "dst"], "left_anti"))
     second = similar(crossed, tokens, threshold)
     edges = exact.unionByName(parts.select(F.col("id").alias("src"), F.col("component").alias("dst"))).unionByName(second)
     return connected_components(edges).select(F.col("id").alias("doc_id"), F.col("component").alias("group_id"))
