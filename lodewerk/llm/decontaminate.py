@@ -8,8 +8,9 @@ word for word.  Shards need nothing from one another, so the text is read once
 and never shuffled.  The test suffixes are broadcast in groups of at most
 ``max_broadcast`` bytes, one scan of the corpus for each group.
 
-Results by case: a null id or a null or empty text matches nothing, and
-``remove`` keeps such rows; items of fewer than ``min_words`` words never
+Results by case: a null or empty text matches nothing, and ``remove`` keeps
+such rows; rows with a null id are not in the result of ``find``, while
+``remove`` goes by their text; items of fewer than ``min_words`` words never
 match; repeated rows match like any other; an empty corpus or benchmark gives
 no rows.  Extra columns are ignored by ``find`` and kept by ``remove``.
 """
