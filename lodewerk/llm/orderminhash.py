@@ -41,7 +41,7 @@ THRESHOLD = 0.8
 SKETCHES = 24
 PICK = 2
 SHORT = 40
-MAX_BROADCAST = 64 << 20
+MAX_BROADCAST = 32 << 20
 U64 = np.uint64
 _rng = np.random.default_rng(77)
 _XOR = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -230,27 +230,44 @@ def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray
     return row[np.arange(n), end].astype(np.int64)
 
 
+def bounded(df: DataFrame, width: int) -> DataFrame:
+    """With a hint to broadcast it if its rows of ``width`` bytes are within ``MAX_BROADCAST``; else joins shuffle both sides."""
+    return F.broadcast(df) if df.count() * width <= MAX_BROADCAST else df
+
+
 def similar(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (src, src_mark, dst, dst_mark) those (src, dst) that alignment confirms."""
+    """Of pairs (src, src_mark, dst, dst_mark) those (src, dst) that alignment confirms.
+
+    Tokens are shuffled once for each document that is compared with a src: the
+    rows of a src come in one after another, its own tokens first, and need no
+    more memory than a batch however many there are.
+    """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
+        at, mine = None, np.zeros(0, np.uint32)
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for lo in range(0, batch.num_rows, 1024):
-                sides = [[np.frombuffer(unpress.decompress(x), np.uint32) for x in batch.column(c).slice(lo, 1024).to_pylist()] for c in (2, 3)]
-                longer = np.maximum(*[np.array([len(x) for x in side]) for side in sides])
+                part, rows, compared = batch.slice(lo, 1024), [], []
+                srcs, dsts, blobs = (part.column(c).to_pylist() for c in range(3))
+                for i, (src, dst, blob) in enumerate(zip(srcs, dsts, blobs, strict=True)):
+                    own = np.frombuffer(unpress.decompress(blob), np.uint32)
+                    if dst is None:
+                        at, mine = src, own
+                    elif at == src:
+                        rows.append(lo + i)
+                        compared.append((mine, own))
+                longer = np.array([max(len(a), len(b)) for a, b in compared], np.int64)
                 most = ((1 - threshold) * longer + 1e-9).astype(np.int64)
-                keep[lo : lo + 1024] = distances(list(zip(*sides, strict=True)), most) <= most
+                keep[np.array(rows, np.int64)] = distances(compared, most) <= most
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["src", "dst"]).filter(pa.array(keep))
 
-    ids = pairs.select(F.col("src").alias("doc_id"), F.col("src_mark").alias("mark")).union(pairs.select("dst", "dst_mark")).distinct()
-    # ids take 16 bytes: below the bound they go to the tokens, beyond it both are shuffled
-    if ids.count() * 16 <= MAX_BROADCAST:
-        tokens = tokens.join(F.broadcast(ids), ["doc_id", "mark"], "left_semi")
-    a = tokens.select(F.col("doc_id").alias("src"), F.col("mark").alias("src_mark"), F.col("tokens").alias("a"))
-    b = tokens.select(F.col("doc_id").alias("dst"), F.col("mark").alias("dst_mark"), F.col("tokens").alias("b"))
-    return pairs.join(a, ["src", "src_mark"]).join(b, ["dst", "dst_mark"]).select("src", "dst", "a", "b").mapInArrow(align, "src bigint, dst bigint")
+    ends = pairs.select("src", F.col("dst").alias("other"), F.col("dst").alias("doc_id"), F.col("dst_mark").alias("mark"))
+    own = pairs.select("src", F.lit(None).cast("bigint").alias("other"), F.col("src").alias("doc_id"), F.col("src_mark").alias("mark")).distinct()
+    sides = bounded(cut(ends.unionByName(own)), 32)
+    rows = tokens.join(sides, ["doc_id", "mark"]).select("src", F.col("other").alias("dst"), "tokens")
+    return rows.repartition("src").sortWithinPartitions(F.col("src"), F.col("dst").asc_nulls_first()).mapInArrow(align, "src bigint, dst bigint")
 
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -278,7 +295,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     star = cut(close(members.filter("rep > least.rep").select(*end("src", "least."), *end("dst"))))
     first = cut(similar(star, tokens, threshold))
     parts = cut(connected_components(first))
-    named = members.drop("least").join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+    named = members.drop("least").join(bounded(parts.select(F.col("id").alias("rep"), "component"), 16), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
     named = named.withColumn("p", F.min("part").over(bucket)).withColumn("q", F.max("part").over(bucket)).filter("p < q").drop("p", "q")
     one, other = named.select("pick", *end("src"), F.col("part").alias("p")), named.select("pick", *end("dst"), F.col("part").alias("q"))
     crossed = cut(close(one.join(other, "pick").filter("p <> q and src < dst")).join(star, ["src", "dst"], "left_anti"))
