@@ -50,7 +50,10 @@ BENIGN_DOMAINS = sorted(
 )
 BENIGN_SUFFIXES = "blockscout.com ceye dnslog incometax nanguanglu nnnwin qpon quidoaehse shlowcarbon trycloudflare tyk workers worf xidyuyedg zap".split()
 RESOLVERS = "1.0.0.1 1.1.1.1 8.8.4.4 8.8.8.8 9.9.9.9".split()
-PRIVATE_NETS = (("10.0.0.0", 8), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12), ("192.168.0.0", 16))
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: 10/8, 127/8, 169.254/16, 172.16/12, 192.168/16; ::1, fc00::/7, fe80::/10
+PRIVATE_V4 = rf"^(?:(?:10|127)\.{_OCTET}|169\.254|172\.(?:1[6-9]|2[0-9]|3[01])|192\.168)\.{_OCTET}\.{_OCTET}$"
+PRIVATE_V6 = "^(?:::1$|0*(?::0*)*:0*1$|f[cd][0-9a-f]{2}:|fe[89ab][0-9a-f]:)"
 EMPTY_HASHES = {
     "sha256": "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855",
     "sha1": "da39a3ee5e6b4b0d3255bfef95601890afd80709",

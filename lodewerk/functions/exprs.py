@@ -100,26 +100,10 @@ def sid(uuid: Column) -> Column:
     return F.conv(F.substring(uuid, 1, 8), 16, 10).cast("bigint") % 9_000_000 + 1_000_000
 
 
-def ip_number(ip: Column) -> Column:
-    """An IPv4 address as a number; null if it is none."""
-    octet = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-    part = F.split(ip, r"\.")
-    number = sum((part[i].cast("bigint") * F.lit(256 ** (3 - i)) for i in range(4)), F.lit(0).cast("bigint"))
-    return F.when(ip.rlike(rf"^{octet}(\.{octet}){{3}}$"), number)
-
-
-def _number(ip: str) -> int:
-    return sum(int(x) * 256 ** (3 - i) for i, x in enumerate(ip.split(".")))
-
-
 def blocked_ip(ip: Column) -> Column:
-    """Private, loop-back and link-local networks and public resolvers; the v6 networks by their prefixes."""
-    n = ip_number(ip)
-    blocked = ip.isin(K.RESOLVERS)
-    for net, bits in K.PRIVATE_NETS:
-        blocked = blocked | n.between(_number(net), _number(net) + 2 ** (32 - bits) - 1)
+    """Private, loop-back and link-local networks and public resolvers, as one pattern for each version."""
     v6 = F.lower(ip)
-    blocked = blocked | (v6.rlike("^[0-9a-f:]+$") & v6.contains(":") & v6.rlike("^(::1$|0*(:0*)*:0*1$|f[cd]|fe[89ab])"))
+    blocked = ip.isin(K.RESOLVERS) | ip.rlike(K.PRIVATE_V4) | (v6.rlike("^[0-9a-f:]+$") & v6.rlike(K.PRIVATE_V6))
     return F.coalesce(blocked, F.lit(False))
 
 
