@@ -270,6 +270,65 @@ def similar(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
     return rows.repartition("src").sortWithinPartitions(F.col("src"), F.col("dst").asc_nulls_first()).mapInArrow(align, "src bigint, dst bigint")
 
 
+def crossings(members: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
+    """Of (pick, rep, mark, words, part) the near pairs (src, dst) of one bucket and different parts.
+
+    Tokens go once to each bucket of their document, so the shuffle grows with
+    the members and not with their pairs; pairs are set aside by their lengths
+    and by their words, which rules out no near one, and the rest aligned.
+    Pairs with the least member have been aligned before.
+    """
+    spread = 256
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor()
+        ids: list[tuple[int, int]] = []
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+        bucket: list[tuple[int, int, bytes]] = []
+        held = None
+
+        def close() -> pa.RecordBatch:
+            most = np.array([int((1 - threshold) * max(len(a), len(b)) + 1e-9) for a, b in pairs], np.int64)
+            near = distances(pairs, most) <= most
+            found = np.array(ids, np.int64).reshape(-1, 2)[near]
+            ids.clear()
+            pairs.clear()
+            return pa.RecordBatch.from_arrays([ta.ints(found.min(axis=1)), ta.ints(found.max(axis=1))], ["src", "dst"])
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            bucket.sort(key=lambda x: x[0])
+            own = [np.frombuffer(unpress.decompress(x[2]), np.uint32) for x in bucket]
+            rep, part, size = np.array([x[0] for x in bucket]), np.array([x[1] for x in bucket]), np.array([len(x) for x in own])
+            counts = np.stack([np.bincount(x & np.uint32(spread - 1), minlength=spread) for x in own]).astype(np.int32)
+            for i in range(1, len(bucket) - 1):
+                longer = np.maximum(size[i], size[i + 1 :])
+                j = np.flatnonzero((part[i + 1 :] != part[i]) & (rep[i + 1 :] != rep[i]) & (np.minimum(size[i], size[i + 1 :]) >= threshold * longer - 1e-9))
+                longer, j = longer[j], j + i + 1
+                shared = np.minimum(counts[i], counts[j]).sum(axis=1)
+                for k in j[longer - shared <= (1 - threshold) * longer + 1e-9].tolist():
+                    ids.append((int(rep[i]), int(rep[k])))
+                    pairs.append((own[i], own[k]))
+                    if len(pairs) >= 1024:
+                        yield close()
+            bucket.clear()
+
+        for batch in batches:
+            picks, reps, parts, blobs = (batch.column(c).to_pylist() for c in range(4))
+            for pick, rep, part, blob in zip(picks, reps, parts, blobs, strict=True):
+                if pick != held and bucket:
+                    yield from settle()
+                held = pick
+                bucket.append((rep, part, blob))
+        if bucket:
+            yield from settle()
+        if pairs:
+            yield close()
+
+    sides = bounded(cut(members.select("pick", F.col("rep").alias("doc_id"), "mark", "part")), 40)
+    rows = tokens.join(sides, ["doc_id", "mark"]).select("pick", F.col("doc_id").alias("rep"), "part", "tokens")
+    return rows.repartition("pick").sortWithinPartitions("pick").mapInArrow(cross, "src bigint, dst bigint").distinct()
+
+
 def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, group_id) of all documents that have near copies; the group's id is its least document id."""
     signed = cut(signatures(docs))
@@ -292,14 +351,12 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def end(name: str, of: str = "") -> list:
         return [F.col(f"{of}rep").alias(name), F.col(f"{of}mark").alias(f"{name}_mark"), F.col(f"{of}words").alias(f"{name}_words")]
 
-    star = cut(close(members.filter("rep > least.rep").select(*end("src", "least."), *end("dst"))))
+    star = close(members.filter("rep > least.rep").select(*end("src", "least."), *end("dst")))
     first = cut(similar(star, tokens, threshold))
     parts = cut(connected_components(first))
     named = members.drop("least").join(bounded(parts.select(F.col("id").alias("rep"), "component"), 16), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
     named = named.withColumn("p", F.min("part").over(bucket)).withColumn("q", F.max("part").over(bucket)).filter("p < q").drop("p", "q")
-    one, other = named.select("pick", *end("src"), F.col("part").alias("p")), named.select("pick", *end("dst"), F.col("part").alias("q"))
-    crossed = cut(close(one.join(other, "pick").filter("p <> q and src < dst")).join(star, ["src", "dst"], "left_anti"))
-    second = similar(crossed, tokens, threshold)
+    second = crossings(named, tokens, threshold)
     edges = exact.unionByName(parts.select(F.col("id").alias("src"), F.col("component").alias("dst"))).unionByName(second)
     return connected_components(edges).select(F.col("id").alias("doc_id"), F.col("component").alias("group_id"))
 
