@@ -38,7 +38,8 @@ MIN_COUNT = 2
 WEIGHT = 0.7  # of an order against those below it
 BITS_EACH = 10  # of filter for a level of an n-gram
 MAX_BROADCAST = 256 << 20
-COUNT_BYTES = 4 << 20
+COUNT_BYTES = 2 << 20
+SHARD_BYTES = 8 << 20
 MAX_LEVEL = 48
 U64 = np.uint64
 SCORES = "doc_id bigint, words bigint, log2_prob double, perplexity double"
@@ -185,7 +186,7 @@ def scores(docs: DataFrame, min_count: int = MIN_COUNT, max_broadcast: int = MAX
     """(doc_id, words, log2_prob, perplexity) of every document, under a model of all of them."""
     keyed = ta.keyed(docs)
     text = ta.text_bytes(docs)
-    shards = ta.buckets_for(text, 16 << 20)
+    shards = ta.buckets_for(text, SHARD_BYTES)
     bits = min(64, max(32, text.bit_length() + 12))  # there are fewer n-grams than bytes
     segments = cut(count(keyed, bits, shards, min_count))
     made = segments.agg(F.sum("cells").alias("cells"), F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
