@@ -37,7 +37,7 @@ from . import textarrays as ta
 
 MIN_WORDS = 50
 GRAM = 10
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 MAX_FILTER = 64 << 20
 U64 = np.uint64
 
