@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textarrays as ta
+
 LABEL = "article"
 MAX_LABELLED = 2000
 ROUNDS = 8
@@ -121,8 +123,8 @@ def region(page: str | None, weights: dict[str, float]) -> tuple[str, int, float
 
 def train(pages: DataFrame, max_labelled: int = MAX_LABELLED) -> dict[str, float]:
     """Weights from the labelled pages; the sample is the ``max_labelled`` least by hash."""
-    marked = pages.filter(F.col("html").contains(f"<{LABEL}")).select("html", F.xxhash64("html").alias("h")).orderBy("h", "html").limit(max_labelled)
-    return fit([r.html for r in marked.collect()])
+    marked = pages.filter(F.col("html").contains(f"<{LABEL}")).select("html")
+    return fit([r.html for r in ta.least_by_hash(marked, max_labelled, "html").collect()])
 
 
 def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:

@@ -152,7 +152,7 @@ def train(labelled: DataFrame, max_sample: int = MAX_SAMPLE) -> tuple[Trees, Dat
     folds = rows.groupBy("_suffix", "_fold").agg(F.sum("label").alias("_bad"), F.count("*").alias("_all"))
     suffixes = folds.groupBy("_suffix").agg(F.sum("_bad").alias("_bad"), F.sum("_all").alias("_all"))
     overall = rows.agg(F.coalesce(F.avg("label"), F.lit(0.0)).alias("r")).first().r
-    sample = rows.withColumn("h", F.xxhash64("_url")).orderBy("h", "_url").limit(max_sample).join(suffixes, "_suffix").join(folds.withColumnsRenamed({"_bad": "_own_bad", "_all": "_own"}), ["_suffix", "_fold"])
+    sample = ta.least_by_hash(rows, max_sample, "_url").join(suffixes, "_suffix").join(folds.withColumnsRenamed({"_bad": "_own_bad", "_all": "_own"}), ["_suffix", "_fold"])
     got = sample.select("_url", "_host", "label", (F.col("_bad") - F.col("_own_bad")).alias("_bad"), (F.col("_all") - F.col("_own")).alias("_all"), F.col("_all").alias("_count")).toPandas().sort_values(["_url", "label"])
     y = got.label.to_numpy(float)
     if not len(y):
