@@ -1,18 +1,25 @@
 """Lexical retrieval packing: context windows filled with BM25 neighbours.
 
-The corpus is cut into shards of about ``SHARD_WORDS`` words, each with an
-inverted index of its own.  Documents whose least word hash is equal go to the
-same shard where its size allows, so that like documents meet; a histogram of
-fixed size balances the shards.  Document frequencies, the number of documents
-and their mean length are those of the whole corpus: shards send their
-vocabularies to buckets of terms, which add up and answer.
-
-Within a shard the first document in order of (id, mark) that is unused opens a
-window; its neighbours by BM25, all its distinct words being the query and all
-unused documents of the shard being searched exactly, follow from the best one
-on as long as one fits.  Every document of a shard is in one window.  A document
-longer than a window fills windows of its own; what is left of it opens the
-next.
+The corpus is cut, in order of (id, mark), into segments of about
+``SHARD_WORDS`` words, each with an inverted index of its own.  Document
+frequencies, the number of documents and their mean length are those of the
+whole corpus: segments send their vocabularies to buckets of terms, which add up
+and answer.
+
+The first document in order of (id, mark) that is unused opens a window; its
+neighbours by BM25, all its distinct words being the query, follow from the best
+one on as long as one fits.  Windows are filled in rounds of up to ``SEEDS``.
+In a round all segments score all their unused documents for each window, and
+the best ``KEEP`` of each class of sizes (powers of two) in the whole corpus go
+to the driver, which picks in order of the windows.  A pick is made only if no
+document that was left off the lists could be better; else the window is
+searched again in the next round, before new ones are opened.  So each pick is
+the best unused document of the whole corpus that fits, and the work grows with
+the square of the corpus.  The driver has one size and one mark for each
+document, and what a round returns.
+
+Every document is in one window.  A document longer than a window fills windows
+of its own; what is left of it opens the next.
 
 Sizes are counted in words (what stands between white space).  Results by case:
 rows without an id, text or word have no place in a window; repeated rows are
@@ -22,6 +29,7 @@ of the text; an empty table gives no rows.  Other columns don't matter.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,14 +38,19 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import cut, shared_folder
 from . import textarrays as ta
 
 WINDOW = 2048
 SHARD_WORDS = 1 << 20
 K1, B = 1.2, 0.75
-BINS = 1 << 14
+SEEDS = 2048
+KEEP = 24
+CLASSES = 33
 U64 = np.uint64
 PLACES = "pack_id bigint, place bigint, doc_id bigint, first_word bigint, words bigint"
+VECTORS = "doc_id bigint, mark bigint, words bigint, terms binary"
+FOUND = "part bigint, found binary"
 
 
 def pack_terms(terms: np.ndarray, counts: np.ndarray) -> bytes:
@@ -60,113 +73,19 @@ def _blocks(column: pa.Array) -> Iterator[tuple[int, ta.Words]]:
             yield at + lo, words
 
 
-def _routes(words: ta.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that have words, and the bin of the least hash of each."""
-    rows = np.flatnonzero(words.counts)
-    if not len(rows):
-        return rows, rows
-    return rows, (np.minimum.reduceat(ta.mix(words.hashes()), words.first[rows]) >> U64(8)).astype(np.int64) % BINS
+def class_of(sizes: np.ndarray) -> np.ndarray:
+    """Class c has the sizes from 2**(c-1) to 2**c - 1."""
+    return np.frexp(sizes.astype(float))[1]
 
 
-def _spread(keyed: DataFrame, capacity: int) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """For each bin its first shard and over how many shards it spreads; the number of documents and of words."""
+def vectors_of(keyed: DataFrame) -> DataFrame:
+    """Size and terms of every document that has words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, size = np.zeros(BINS, np.int64), np.zeros(BINS, np.int64)
-        for batch in batches:
-            for _, words in _blocks(batch.column(2)):
-                rows, bins = _routes(words)
-                np.add.at(docs, bins, 1)
-                np.add.at(size, bins, words.counts[rows])
-        used = np.flatnonzero(docs)
-        yield pa.RecordBatch.from_arrays([ta.ints(used), ta.ints(docs[used]), ta.ints(size[used])], ["bin", "docs", "words"])
-
-    load = np.zeros(BINS, np.int64)
-    docs = 0
-    for row in keyed.mapInArrow(scan, "bin bigint, docs bigint, words bigint").groupBy("bin").agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")).collect():
-        load[row.bin] = row.words
-        docs += row.docs
-    first, over = np.zeros(BINS, np.int64), np.ones(BINS, np.int64)
-    shard = held = 0
-    for b in range(BINS):
-        if held and held + load[b] > capacity:
-            shard, held = shard + 1, 0
-        first[b], over[b] = shard, max(1, -(-int(load[b]) // capacity))
-        held += int(load[b])
-        if over[b] > 1:
-            shard, held = shard + int(over[b]), 0
-    return first, over, docs, int(load.sum())
-
-
-def _index(docs: pa.Table, answer: dict[str, np.ndarray], number: int, mean: float) -> tuple[np.ndarray, ...]:
-    """Of a shard: documents in order, sizes, each one's terms, and postings with BM25 weights by term."""
-    ids, marks, sizes = (docs.column(c).to_numpy() for c in ("doc_id", "mark", "words"))
-    order = np.lexsort((marks, ids))
-    ids, sizes = ids[order], sizes[order]
-    blobs = docs.column("terms").to_pylist()
-    parts = [unpack_terms(blobs[i]) for i in order]
-    count = np.array([len(t) for t, _ in parts])
-    doc, terms, times = np.repeat(np.arange(len(parts)), count), np.concatenate([t for t, _ in parts]), np.concatenate([c for _, c in parts])
-    at = np.minimum(np.searchsorted(answer["terms"], terms), max(len(answer["terms"]) - 1, 0))
-    # a term that only one document of the shard has finds nothing
-    known = answer["terms"][at] == terms if len(answer["terms"]) else np.zeros(len(terms), bool)
-    doc, term, times = doc[known], at[known], times[known]
-    by = np.argsort(term, kind="stable")
-    df = answer["df"].astype(float)
-    idf = np.log1p((number - df + 0.5) / (df + 0.5))
-    weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[doc] / mean))
-    starts = np.searchsorted(term[by], np.arange(len(df) + 1))
-    mine = np.searchsorted(doc, np.arange(len(parts) + 1))
-    return ids, sizes, term, mine, doc[by], weight[by], starts
-
-
-def fill(ids: np.ndarray, sizes: np.ndarray, term: np.ndarray, mine: np.ndarray, posting: np.ndarray, weight: np.ndarray, starts: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
-    """(window, place, document, first word, words) for every document of a shard."""
-    n = len(ids)
-    unused, out, number = np.ones(n, bool), [], 0
-    for seed in range(n):
-        if not unused[seed]:
-            continue
-        unused[seed] = False
-        size, at = int(sizes[seed]), 0
-        while size - at > window:
-            out.append((number, 0, seed, at, window))
-            number, at = number + 1, at + window
-        out.append((number, 0, seed, at, size - at))
-        room, place = window - (size - at), 1
-        if room:
-            mask = unused & (sizes <= room)
-            if mask.any():
-                query = term[mine[seed] : mine[seed + 1]]
-                hit = ta.ranges(starts[query], starts[query + 1] - starts[query])
-                score = np.where(mask, np.bincount(posting[hit], weight[hit], n), 0.0)
-                while True:
-                    best = int(np.argmax(score))
-                    if score[best] <= 0:
-                        break
-                    out.append((number, place, best, 0, int(sizes[best])))
-                    unused[best], room, place = False, room - int(sizes[best]), place + 1
-                    score[best] = 0.0
-                    score[sizes > room] = 0.0
-        number += 1
-    return out
-
-
-def windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(pack_id, place, doc_id, first_word, words): the pieces of each window in order."""
-    keyed = ta.keyed(docs)
-    first, over, number, total = _spread(keyed, shard_words)
-    mean = total / max(number, 1)
-    shards = int((first + over).max())
-    buckets = max(12, shards)
-    routing = keyed.sparkSession.sparkContext.broadcast((first, over))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, over = routing.value
         for batch in batches:
             ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for lo, words in _blocks(batch.column(2)):
-                rows, bins = _routes(words)
+                rows = np.flatnonzero(words.counts)
                 if not len(rows):
                     continue
                 key = np.sort((words.row.astype(U64) << U64(48)) | (words.hashes() >> U64(16)))
@@ -174,10 +93,36 @@ def windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORD
                 times = np.diff(np.append(heads, len(key)))
                 terms = key[heads] & U64((1 << 48) - 1)
                 bounds = np.searchsorted(key[heads] >> U64(48), np.arange(len(words.counts) + 1))
-                salt = ta.mix(ids[lo + rows].astype(U64) ^ marks[lo + rows].astype(U64)) >> U64(32)
-                shard = first[bins] + ((salt * over[bins].astype(U64)) >> U64(32)).astype(np.int64)
                 blobs = [pack_terms(terms[bounds[r] : bounds[r + 1]], times[bounds[r] : bounds[r + 1]]) for r in rows]
-                yield pa.RecordBatch.from_arrays([ta.ints(shard), ta.ints(ids[lo + rows]), ta.ints(marks[lo + rows]), ta.ints(words.counts[rows]), pa.array(blobs, pa.binary())], ["shard", "doc_id", "mark", "words", "terms"])
+                yield pa.RecordBatch.from_arrays([ta.ints(ids[lo + rows]), ta.ints(marks[lo + rows]), ta.ints(words.counts[rows]), pa.array(blobs, pa.binary())], ["doc_id", "mark", "words", "terms"])
+
+    return keyed.mapInArrow(scan, VECTORS)
+
+
+def _numbered(vectors: DataFrame, shard_words: int) -> tuple[DataFrame, DataFrame, np.ndarray, np.ndarray]:
+    """(at, doc_id, words, terms) in order of (doc_id, mark); (rank, segment, doc_id, words, terms), ranks being dense; place and size by rank."""
+    placed = cut(vectors.orderBy("doc_id", "mark").withColumn("at", F.monotonically_increasing_id()))
+    table = placed.select("at", "words").toArrow()
+    at, sizes = table.column("at").to_numpy(), table.column("words").to_numpy().astype(np.int32)
+    order = np.argsort(at)
+    at, sizes = at[order], sizes[order]
+    held = np.bincount(at >> 33) if len(at) else np.zeros(1, np.int64)
+    offset = (np.cumsum(held) - held).tolist()
+    segment = np.cumsum(sizes, dtype=np.int64) // shard_words
+    turns = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])) if len(at) else np.zeros(1, np.int64)
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            rank = np.array(offset)[at >> 33] + (at & ((1 << 33) - 1))
+            yield pa.RecordBatch.from_arrays([ta.ints(rank), ta.ints(np.searchsorted(turns, rank, "right") - 1), *batch.columns[1:]], ["rank", "segment", "doc_id", "words", "terms"])
+
+    placed = placed.select("at", "doc_id", "words", "terms")
+    return placed, placed.mapInArrow(name, "rank bigint, segment bigint, doc_id bigint, words bigint, terms binary"), at, sizes
+
+
+def index_of(docs: DataFrame, number: int, mean: float, buckets: int) -> DataFrame:
+    """(segment, index): documents by class and rank, terms that another document of the corpus has, and postings with BM25 weights."""
 
     def vocabulary(table: pa.Table) -> pa.Table:
         terms = np.sort(np.concatenate([unpack_terms(x)[0] for x in table.column("terms").to_pylist()]))
@@ -186,7 +131,7 @@ def windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORD
         bounds = np.searchsorted((terms * U64(buckets)) >> U64(48), np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(bounds))
         blobs = [pack_terms(terms[bounds[b] : bounds[b + 1]], df[bounds[b] : bounds[b + 1]]) for b in used]
-        return pa.table({"bucket": ta.ints(used), "asked": ta.ints(np.full(len(used), table.column("shard")[0].as_py())), "terms": pa.array(blobs, pa.binary())})
+        return pa.table({"bucket": ta.ints(used), "asked": ta.ints(np.full(len(used), table.column("segment")[0].as_py())), "terms": pa.array(blobs, pa.binary())})
 
     def add_up(table: pa.Table) -> pa.Table:
         asked, blobs = table.column("asked").to_pylist(), table.column("terms").to_pylist()
@@ -194,27 +139,209 @@ def windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORD
         terms, place = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
         total = np.bincount(place, np.concatenate([d for _, d in parts])).astype(np.int64)
         out, at = [], 0
-        for part, df in parts:
-            shared = df > 1
-            here = place[at : at + len(part)][shared]
+        for part, _ in parts:
+            here = place[at : at + len(part)]
+            here = here[total[here] > 1]  # a term of one document finds nothing
             out.append(pack_terms(terms[here], total[here]))
             at += len(part)
-        return pa.table({"shard": ta.ints(np.array(asked)), "answer": pa.array(out, pa.binary())})
-
-    def fill_shard(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        parts = [unpack_terms(x) for x in answers.column("answer").to_pylist()]
-        parts = [p for p in parts if len(p[0])]
-        answer = {"terms": np.concatenate([np.zeros(0, U64), *(t for t, _ in parts)]), "df": np.concatenate([np.zeros(0, np.int64), *(d for _, d in parts)])}
-        order = np.argsort(answer["terms"])
-        index = _index(mine, {k: v[order] for k, v in answer.items()}, number, mean)
-        rows = np.array(fill(*index, window), np.int64).reshape(-1, 5)
-        shard = mine.column("shard")[0].as_py()
-        return pa.table([ta.ints(c) for c in (rows[:, 0] + (shard << 32), rows[:, 1], index[0][rows[:, 2]], rows[:, 3], rows[:, 4])], ["pack_id", "place", "doc_id", "first_word", "words"])
-
-    vectors = keyed.mapInArrow(scan, "shard bigint, doc_id bigint, mark bigint, words bigint, terms binary")
-    asked = vectors.groupBy("shard").applyInArrow(vocabulary, "bucket bigint, asked bigint, terms binary")
-    answers = asked.groupBy("bucket").applyInArrow(add_up, "shard bigint, answer binary")
-    return vectors.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(fill_shard, PLACES)
+        return pa.table({"segment": ta.ints(np.array(asked)), "answer": pa.array(out, pa.binary())})
+
+    def build(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        got = [unpack_terms(x) for x in answers.column("answer").to_pylist()]
+        known, df = np.concatenate([np.zeros(0, U64), *(t for t, _ in got)]), np.concatenate([np.zeros(0, np.int64), *(d for _, d in got)])
+        order = np.argsort(known)
+        known, df = known[order], df[order].astype(float)
+        ranks, sizes = mine.column("rank").to_numpy(), mine.column("words").to_numpy()
+        order = np.lexsort((ranks, class_of(sizes)))
+        ranks, sizes, blobs = ranks[order], sizes[order], mine.column("terms").to_pylist()
+        parts = [unpack_terms(blobs[i]) for i in order]
+        doc, terms, times = np.repeat(np.arange(len(parts)), [len(t) for t, _ in parts]), np.concatenate([t for t, _ in parts]), np.concatenate([c for _, c in parts])
+        at = np.searchsorted(known, terms)
+        at[at == len(known)] = 0
+        has = known[at] == terms if len(known) else np.zeros(len(terms), bool)
+        doc, term, times = doc[has], at[has], times[has]
+        by = np.argsort(term, kind="stable")
+        doc, term, times = doc[by], term[by], times[by]
+        idf = np.log1p((number - df + 0.5) / (df + 0.5))
+        weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[doc] / mean))
+        starts = np.searchsorted(term, np.arange(len(df) + 1))
+        blob = zstandard.compress(ta.pack(ranks, sizes.astype(np.int32), known, starts, doc.astype(np.int32), weight), 1)
+        return pa.table({"segment": mine.column("segment").slice(0, 1), "index": pa.array([blob], pa.binary())})
+
+    by_segment = docs.groupBy("segment")
+    asked = by_segment.applyInArrow(vocabulary, "bucket bigint, asked bigint, terms binary")
+    answers = asked.groupBy("bucket").applyInArrow(add_up, "segment bigint, answer binary")
+    return by_segment.cogroup(answers.groupBy("segment")).applyInArrow(build, "segment bigint, index binary")
+
+
+def best_of(found: list[tuple[np.ndarray, ...]], keep: int) -> tuple[np.ndarray, ...]:
+    """The ``keep`` best of each window and class of several lists (window, class, score, rank, more); more: the class has others."""
+    q, c, score, rank, more = (np.concatenate([f[i] for f in found]) for i in range(5))
+    order = np.lexsort((rank, -score, c, q))
+    q, c, score, rank, more = q[order], c[order], score[order], rank[order], more[order]
+    key = q * CLASSES + c
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    held = np.diff(np.append(heads, len(key)))
+    cut_off = np.repeat((np.logical_or.reduceat(more, heads) if len(heads) else more) | (held > keep), held)
+    stays = np.arange(len(key)) - np.repeat(heads, held) < keep
+    return q[stays], c[stays], score[stays], rank[stays], cut_off[stays]
+
+
+def search_segment(blob: bytes, terms: np.ndarray, first: np.ndarray, seeds: np.ndarray, rooms: np.ndarray, unused: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
+    """For each window the best unused documents of a segment that fit, by class."""
+    ranks, sizes, known, starts, doc, weight = ta.unpack(zstandard.decompress(blob))
+    free = unused[ranks]
+    n, out = len(ranks), []
+    bounds = np.searchsorted(class_of(sizes), np.arange(CLASSES + 1))
+    live = [c for c in range(CLASSES) if free[bounds[c] : bounds[c + 1]].any()]
+    if live and len(known):
+        alive = free[doc]
+        starts = np.concatenate([[0], np.cumsum(alive)])[starts]
+        doc, weight = doc[alive], weight[alive]
+        at = np.searchsorted(known, terms)
+        at[at == len(known)] = 0
+        has = known[at] == terms
+        mine = np.concatenate([[0], np.cumsum(has)])[first]
+        at = at[has]
+        begin, length = starts[at], starts[at + 1] - starts[at]
+        for q in range(len(seeds)):
+            hit = ta.ranges(begin[mine[q] : mine[q + 1]], length[mine[q] : mine[q + 1]])
+            if not len(hit):
+                continue
+            score = np.bincount(doc[hit], weight[hit], n)
+            score[(sizes > rooms[q]) | (ranks == seeds[q])] = 0.0
+            for c in live:
+                if 1 << (c - 1) > rooms[q]:
+                    break
+                sub = score[bounds[c] : bounds[c + 1]]
+                got = np.flatnonzero(sub > 0)
+                more = len(got) > keep
+                if more:
+                    least = np.partition(sub[got], len(got) - keep)[len(got) - keep]
+                    above = got[sub[got] > least]
+                    got = np.concatenate([above, got[sub[got] == least][: keep - len(above)]])
+                if len(got):
+                    out.append((np.full(len(got), q), np.full(len(got), c), sub[got], ranks[bounds[c] + got], np.full(len(got), more)))
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, none.astype(float), none, none.astype(bool))
+
+
+def pick(room: int, found: dict[int, tuple[list, list, bool]], unused: np.ndarray, sizes: np.ndarray) -> tuple[list[int], bool]:
+    """The ranks that follow in a window, and whether its lists ended before it could be told what comes next."""
+    at, out = dict.fromkeys(found, 0), []
+    while True:
+        best, doubt = None, None
+        for c, (scores, ranks, more) in found.items():
+            if 1 << (c - 1) > room:
+                continue
+            i = at[c]
+            while i < len(ranks) and not (unused[ranks[i]] and sizes[ranks[i]] <= room):
+                i += 1
+            at[c] = i
+            if i < len(ranks):
+                best = min(best or (0.0, 0), (-scores[i], ranks[i]))
+            elif more:
+                doubt = min(doubt or (0.0, 0), (-scores[-1], ranks[-1]))
+        if doubt and (not best or doubt < best):
+            return out, True
+        if not best:
+            return out, False
+        out.append(best[1])
+        unused[best[1]] = False
+        room -= int(sizes[best[1]])
+
+
+def windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, seeds: int = SEEDS, keep: int = KEEP) -> DataFrame:
+    """(pack_id, place, doc_id, first_word, words): the pieces of each window in order."""
+    spark = docs.sparkSession
+    context = spark.sparkContext
+    placed, numbered, at, sizes = _numbered(vectors_of(ta.keyed(docs)), shard_words)
+    number = len(sizes)
+    if not number:
+        return spark.createDataFrame([], PLACES)
+    folder = f"{shared_folder(spark)}/bm25pack-{uuid.uuid4()}"
+    before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    index = cut(index_of(numbered, number, before[-1] / number, max(12, int(before[-1] // shard_words) + 1)))
+    unused = np.ones(number, bool)
+    packs = next_seed = rounds = 0
+    waiting: list[tuple[int, int, int, int]] = []  # seed, room, pack, place
+    while waiting or next_seed < number:
+        fresh = (next_seed + np.flatnonzero(unused[next_seed : next_seed + 16 * seeds]))[: max(0, seeds - len(waiting))]
+        rooms = [w[1] for w in waiting] + [window - ((int(s) - 1) % window + 1) for s in sizes[fresh]]
+        asking = np.concatenate([np.array([w[0] for w in waiting], np.int64), fresh])
+        found = _search(index, placed, at[asking], asking, np.array(rooms, np.int64), unused, keep)
+        rows: list[tuple[int, int, int, int, int]] = []
+        still = []
+        for q, seed in enumerate(asking.tolist()):
+            if q < len(waiting):
+                _, room, pack, place = waiting[q]
+            elif unused[seed]:
+                unused[seed] = False
+                size, done, room, place = int(sizes[seed]), 0, rooms[q], 1
+                high = int(before[seed] // shard_words) << 32
+                while size - done > window:
+                    rows.append((packs + high, 0, seed, done, window))
+                    packs, done = packs + 1, done + window
+                pack = packs + high
+                rows.append((pack, 0, seed, done, size - done))
+                packs += 1
+            else:
+                continue
+            chosen, doubt = pick(room, found.get(q, {}), unused, sizes)
+            for rank in chosen:
+                rows.append((pack, place, rank, 0, int(sizes[rank])))
+                place, room = place + 1, room - int(sizes[rank])
+            if doubt:
+                still.append((seed, room, pack, place))
+        if len(fresh):
+            next_seed = int(fresh[-1]) + 1
+        elif len(waiting) < seeds:
+            next_seed = min(number, next_seed + 16 * seeds)
+        waiting = still
+        if rows:
+            columns = np.array(rows, np.int64)
+            spark.createDataFrame(pa.table([ta.ints(columns[:, i]) for i in range(5)], ["pack_id", "place", "rank", "first_word", "words"])).coalesce(1).write.mode("append").parquet(folder)
+        rounds += 1
+        if rounds % 8 == 0:
+            context._jvm.System.gc()  # shuffle files of past rounds
+    filled = spark.read.schema("pack_id bigint, place bigint, rank bigint, first_word bigint, words bigint").parquet(folder)
+    return filled.join(numbered.select("rank", "doc_id"), "rank").select("pack_id", "place", "doc_id", "first_word", "words")
+
+
+def _search(index: DataFrame, placed: DataFrame, places: np.ndarray, asking: np.ndarray, rooms: np.ndarray, unused: np.ndarray, keep: int) -> dict[int, dict[int, tuple[list, list, bool]]]:
+    """By window and class the scores and ranks of the best documents of all segments, and whether there are more."""
+    context = index.sparkSession.sparkContext
+    got = {r["at"]: unpack_terms(bytes(r.terms))[0] for r in placed.filter(F.col("at").isin(places.tolist())).select("at", "terms").collect()}
+    queries = [got[x] for x in places.tolist()]
+    first = np.concatenate([[0], np.cumsum([len(t) for t in queries])])
+    shared = context.broadcast((np.concatenate([np.zeros(0, U64), *queries]), first, asking, rooms, np.packbits(unused), len(unused)))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, first, asking, rooms, bits, n = shared.value
+        free, best = np.unpackbits(bits, count=n).astype(bool), None
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                found = search_segment(blob, terms, first, asking, rooms, free, keep)
+                best = best_of([found] if best is None else [best, found], keep)
+        if best is not None:
+            part = best[0] // 128
+            for p in np.unique(part):
+                here = part == p
+                yield pa.RecordBatch.from_arrays([ta.ints(np.array([p])), pa.array([ta.pack(*(x[here] for x in best))], pa.binary())], ["part", "found"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        best = best_of([ta.unpack(x) for x in table.column("found").to_pylist()], keep)
+        return pa.table({"part": table.column("part").slice(0, 1), "found": pa.array([ta.pack(*best)], pa.binary())})
+
+    out: dict[int, dict[int, tuple[list, list, bool]]] = {}
+    for row in index.select("index").mapInArrow(search, FOUND).groupBy("part").applyInArrow(merge, FOUND).collect():
+        q, c, score, rank, more = ta.unpack(bytes(row.found))
+        key = q * CLASSES + c
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        for a, b in zip(heads, np.append(heads[1:], len(key)), strict=True):
+            out.setdefault(int(q[a]), {})[int(c[a])] = (score[a:b].tolist(), rank[a:b].tolist(), bool(more[a]))
+    shared.destroy()
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

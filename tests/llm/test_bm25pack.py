@@ -71,3 +71,18 @@ def test_cases(spark):
     got = Counter(r.doc_id for r in p.windows(docs).collect())
     assert got == {1: 2, 4: 98}
     assert p.windows(docs.limit(0)).count() == 0
+
+
+def test_many_shards_equal_brute_force(spark):
+    """Neighbours come from the whole corpus, however many segments it is cut into."""
+    rows = corpus(150, 7)
+    got = p.windows(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), window=80, shard_words=300, keep=150).collect()
+    assert len({r.pack_id >> 32 for r in got}) > 10
+    assert sorted((r.pack_id & 0xFFFFFFFF, *r[1:]) for r in got) == sorted(brute(rows, 80))
+
+
+def test_lists_that_end_are_searched_again(spark):
+    """Short lists and few windows a round: still every pick is the best unused document of the corpus at its time."""
+    rows = corpus(40, 3)
+    got = p.windows(spark.createDataFrame(rows, "doc_id bigint, text string"), window=80, shard_words=300, seeds=1, keep=2).collect()
+    assert sorted((r.pack_id & 0xFFFFFFFF, *r[1:]) for r in got) == sorted(brute(rows, 80))
