@@ -6,8 +6,9 @@ and each of them is put into one Bloom filter.  Reading a count means probing
 for level 1, 2, ... until a probe fails; errors can only raise a level, by one
 with the filter's error rate (about 1 in 30), by two with its square.
 Probabilities interpolate the orders: P(w|uv) = l c(uvw)/c(uv) + (1-l) P(w|v),
-down to (c(w) + 1) / (N + V + 1).  N-grams of two and three words that occur
-once are left out (``min_count``), as usual.
+down to (c(w) + 1) / (N + V + 1).  The query keeps all n-grams; ``scores`` by
+itself leaves out those of two and three words that occur less than
+``min_count`` times.
 
 The filter is made in shards, by n-gram, and grows with the corpus.  Up to
 ``max_broadcast`` bytes it is broadcast; beyond that n-grams travel to the
@@ -265,4 +266,4 @@ def _scores_by_shuffle(keyed: DataFrame, segments: DataFrame, bits: int, shards:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores(ta.documents(spark, sf_dir))
+    return scores(ta.documents(spark, sf_dir), min_count=1)

@@ -81,3 +81,14 @@ def test_cases(spark):
     assert sorted((r.doc_id, r.words) for r in got) == [(1, 2), (1, 2), (4, 300_000)]
     assert all(np.isfinite(r.perplexity) for r in got)
     assert m.scores(docs.limit(0)).count() == 0
+
+
+def test_ngrams_that_occur_once_count(spark, tmp_path):
+    """The query against a brute force without a cut-off, on texts whose n-grams are mostly single."""
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randrange(300)}" for _ in range(60))) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute(rows, min_count=1)
+    got = {r.doc_id: r for r in m.query(spark, str(tmp_path)).collect()}
+    off = np.array([abs(got[i].log2_prob - want[i]) / got[i].words for i in want])
+    assert np.mean(off) < 0.1
