@@ -133,6 +133,13 @@ def supplier_components(spark, d):
     return resolve.components(keys.select("id").distinct(), resolve.star_edges(keys))
 
 
+@query("""WITH RECURSIVE k AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem), e AS (SELECT DISTINCT a.s AS a, b.s AS b FROM k a JOIN k b ON a.p = b.p),
+w AS (SELECT a, b FROM e UNION SELECT w.a, e.b FROM w JOIN e ON w.b = e.a) SELECT a AS id, min(b) AS component FROM w GROUP BY 1""")
+def supplier_components_all(spark, d):
+    keys = table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("key"), F.col("l_suppkey").alias("id")).distinct()
+    return resolve.components(keys.select("id").distinct(), resolve.star_edges(keys))
+
+
 @query(f"""WITH {PKG}, a AS (SELECT DISTINCT ecosystem, replace(lower(name), ' ', CASE WHEN length(name) % 2 = 0 THEN '' ELSE '-' END) AS name, weekly FROM pkg),
 s AS (SELECT x.ecosystem, x.name, y.name AS target, y.weekly, levenshtein(x.name, y.name) AS d, translate(x.name, '01345', 'oleas') AS f, translate(y.name, '01345', 'oleas') AS g,
  starts_with(x.name, y.name || '-') OR ends_with(x.name, '-' || y.name) OR starts_with(y.name, x.name || '-') OR ends_with(y.name, '-' || x.name) AS added FROM a x JOIN a y ON x.ecosystem = y.ecosystem AND x.name <> y.name),
@@ -313,6 +320,14 @@ def feed_union_dedup(spark, d):
     return index.keep_first(both.filter("ioc is not null and ioc_type <> 'sha256'"), ["ioc_type", "ioc", "id"], ["pos"])
 
 
+@query(f"""WITH {INC}, u AS (SELECT ioc_type, ioc, id, 0 AS pos FROM inc WHERE id % 2 = 0 UNION ALL SELECT ioc_type, ioc, id, 1 FROM inc WHERE id % 2 <> 0 OR id % 3 = 0)
+SELECT ioc_type, ioc, id, min(pos) AS pos FROM u WHERE ioc IS NOT NULL GROUP BY 1, 2, 3""")
+def feed_union_dedup_all(spark, d):
+    rows = incidents(spark, d).select("ioc_type", "ioc", "id")
+    both = rows.filter("id % 2 = 0").withColumn("pos", F.lit(0)).unionByName(rows.filter("id % 2 <> 0 or id % 3 = 0").withColumn("pos", F.lit(1)))
+    return index.keep_first(both.filter("ioc is not null"), ["ioc_type", "ioc", "id"], ["pos"])
+
+
 @query(f"WITH {INC}, k AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') SELECT id, user_id FROM inc WHERE id NOT IN (SELECT o_orderkey FROM k)")
 def dangling_refs(spark, d):
     return index.dangling(incidents(spark, d).select("id", "user_id"), table(spark, d, "orders").filter("o_orderstatus = 'F'"), "id", "o_orderkey")

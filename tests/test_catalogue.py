@@ -53,3 +53,25 @@ def test_entry_works_without_the_corpus_operators(monkeypatch):
     monkeypatch.setattr(builtins, "__import__", gone)
     assert set(__spark_entry__.queries()) == set(catalogue.QUERIES)
     assert set(__spark_entry__.oracle_sql()) == set(catalogue.ORACLES)
+
+
+def test_every_supplier_and_incident_enters(spark):
+    """Components by union-find over all lines, and every incident with an indicator in the union of the feeds."""
+    lines = spark.read.parquet(f"{D}/lineitem.parquet").select("l_suppkey", "l_partkey").distinct().collect()
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for r in lines:
+        parent[root(("p", r.l_partkey))] = root(("s", r.l_suppkey))
+    groups = {}
+    for kind, x in list(parent):
+        if kind == "s":
+            groups.setdefault(root(("s", x)), set()).add(x)
+    want = {x: min(g) for g in groups.values() for x in g}
+    assert {r.id: r.component for r in catalogue.QUERIES["supplier_components_all"](spark, D).collect()} == want
+    every = {r.id for r in catalogue.incidents(spark, D).filter("ioc is not null").collect()}
+    assert {r.id for r in catalogue.QUERIES["feed_union_dedup_all"](spark, D).collect()} == every
