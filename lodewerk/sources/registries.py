@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from ..operators.index import previous_values
 
-PYPI_WORDS = ("backdoor", "credential", "exfiltrat", "keylogger", "malware", "reverse shell", "stealer", "trojan")
-CRATE_NAMES = ("anyhow", "clap", "futures", "hyper", "lazy_static", "log", "rand", "regex", "reqwest", "serde", "syn", "tokio")
-RESERVED_PATHS = ("golang.org/", "google.golang.org/", "k8s.io/")
-MAVEN_GROUPS = ("com.google", "com.amazonaws", "com.fasterxml", "io.netty", "org.apache", "org.hibernate", "org.springframework")
-ODD_TLDS = ("click", "icu", "ru", "tk", "top", "xyz")
-HOOKS = ("post-install-cmd", "post-update-cmd", "pre-install-cmd", "pre-update-cmd")
+# the lists of the reference; "trojan" and "k8s.io/" are ours
+NPM_HOOKS = ("preinstall", "postinstall", "prepare")
+PYPI_WORDS = ("reverse shell", "backdoor", "exfil", "stealer", "credential harvest", "cryptominer", "keylogger", "ransomware", "trojan")
+CRATE_WORDS = ("backdoor", "stealer", "exfil", "ransom", "cryptominer")
+CRATE_NAMES = ("tokio", "serde", "rand", "log", "regex", "clap", "hyper", "reqwest", "actix", "axum", "sqlx", "diesel")
+RESERVED_PATHS = ("golang.org/", "google.golang.org/", "gopkg.in/go-", "k8s.io/")
+MAVEN_GROUPS = ("org.apache.", "com.google.", "org.springframework.", "com.fasterxml.", "io.netty.", "org.slf4j.", "commons-")
+ODD_TLDS = ("xyz", "top", "click", "online", "site", "space")
+HOOKS = ("pre-install-cmd", "post-install-cmd", "pre-update-cmd", "post-update-cmd", "post-root-package-install")
 
 
 def found(rows: DataFrame, name: Column, ecosystem: str, reason: Column) -> DataFrame:
@@ -24,7 +27,7 @@ def npm(versions: DataFrame) -> DataFrame:
     """(name, version, published, size, scripts): an install hook in the newest version, or one over 500 KiB and three times the one before it."""
     newest = Window.partitionBy("name").orderBy(F.desc("published"), F.desc("version"))
     rows = previous_values(versions, "name", ["published", "version"], "size").withColumn("n", F.row_number().over(newest)).filter("n = 1")
-    hook = F.exists(F.array(*map(F.lit, ("preinstall", "install", "postinstall"))), lambda h: F.array_contains(F.map_keys("scripts"), h))
+    hook = F.exists(F.array(*map(F.lit, NPM_HOOKS)), lambda h: F.coalesce(F.try_element_at("scripts", h), F.lit("")) != "")
     grown = (F.col("size") > 500 * 1024) & (F.col("size") > 3 * F.col("previous"))
     return found(rows, F.col("name"), "npm", F.when(hook, "install_hook").when(grown, "size_spike"))
 
@@ -37,9 +40,12 @@ def pypi(updates: DataFrame) -> DataFrame:
 
 
 def crates(rows: DataFrame) -> DataFrame:
-    """(name): one or two edits from a well-known crate, the first in order."""
-    near = F.filter(F.array(*map(F.lit, CRATE_NAMES)), lambda t: (F.col("name") != t) & (((F.length(t) >= 5) & (F.levenshtein(F.col("name"), t) <= 2)) | ((F.length(t) >= 3) & (F.levenshtein(F.col("name"), t) == 1))))
-    return found(rows, F.col("name"), "cargo", F.concat(F.lit("near "), F.try_element_at(near, F.lit(1))))
+    """(name) and, where the feed has one, description: the first malicious word; else one or two edits from a well-known crate, the first in order."""
+    text = F.lower(F.concat_ws(" ", "name", *(["description"] if "description" in rows.columns else [])))
+    word = F.try_element_at(F.filter(F.array(*map(F.lit, CRATE_WORDS)), lambda w: F.contains(text, w)), F.lit(1))
+    name = F.lower("name")
+    near = F.filter(F.array(*map(F.lit, CRATE_NAMES)), lambda t: (name != t) & (((F.length(t) >= 5) & (F.levenshtein(name, t) <= 2)) | ((F.length(t) >= 3) & (F.levenshtein(name, t) == 1))))
+    return found(rows, F.col("name"), "cargo", F.coalesce(F.concat(F.lit("keyword "), word), F.concat(F.lit("near "), F.try_element_at(near, F.lit(1)))))
 
 
 def maven(rows: DataFrame) -> DataFrame:
@@ -72,7 +78,7 @@ def hex_pm(rows: DataFrame) -> DataFrame:
 
 def packagist(rows: DataFrame) -> DataFrame:
     """(name, composer): life-cycle hooks."""
-    return found(rows, F.col("name"), "composer", F.when(F.col("composer").rlike("|".join(HOOKS)), "hook"))
+    return found(rows, F.col("name"), "composer", F.when(F.lower("composer").rlike("|".join(HOOKS)), "hook"))
 
 
 def pub(rows: DataFrame) -> DataFrame:
