@@ -16,8 +16,8 @@ from lodewerk.operators.components import shared_folder
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Toxic documents go."""
-    return toxicity.reject(docs)
+    """Toxic documents go, by the word list and the stems that the labels teach."""
+    return toxicity.reject(docs, stems=toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
