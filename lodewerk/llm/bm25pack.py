@@ -1,56 +1,70 @@
 """Lexical retrieval packing: context windows filled with BM25 neighbours.
 
-The corpus is cut, in order of (id, mark), into segments of about
-``SHARD_WORDS`` words, each with an inverted index of its own.  Document
-frequencies, the number of documents and their mean length are those of the
-whole corpus: segments send their vocabularies to buckets of terms, which add up
-and answer.
-
-The first document in order of (id, mark) that is unused opens a window; its
-neighbours by BM25, all its distinct words being the query, follow from the best
-one on as long as one fits.  Windows are filled in rounds of up to ``SEEDS``.
-In a round all segments score all their unused documents for each window, and
-the best ``KEEP`` of each class of sizes (powers of two) in the whole corpus go
-to the driver, which picks in order of the windows.  A pick is made only if no
-document that was left off the lists could be better; else the window is
-searched again in the next round, before new ones are opened.  So each pick is
-the best unused document of the whole corpus that fits, and the work grows with
-the square of the corpus.  The driver has one size and one mark for each
-document, and what a round returns.
+*Seeds* are the documents whose id is divisible by ``EVERY``; each opens a
+window.  All seeds are searched against all other documents of the corpus, in
+blocks of seeds: a scan counts the document frequencies of the block's terms, a
+second one scores.  Each task of that scan holds an inverted index of its shard,
+batch by batch, restricted to the block's terms.  The few terms that cost most
+(frequent ones) are columns of a matrix product, the others postings, so every
+document that has any word of a seed is scored, exactly.  Scores are sums of
+BM25 impacts in steps of 1/64.
+
+A seed gets its best ``keep`` neighbours that fit its window.  A document listed
+by several seeds goes to the one for which it scores best, and seeds fill their
+windows from the best document on as long as one fits; what a seed declines may
+go to the next one, until nobody wants anything.  A seed that lost so many
+neighbours to others that fewer than ``LEAST`` of its list were free asks for a
+list four times as long, until none does.  Equal scores are ordered by a hash of
+seed and document, so that seeds within a large group of copies share it out.
+
+All other documents follow in windows of their own kind: in order of the least
+hash of their words, under which copies and near copies stand together, by range
+partitions, each document in the first open window that has room for it.
 
 Every document is in one window.  A document longer than a window fills windows
 of its own; what is left of it opens the next.
 
+Shuffled are lists of neighbours and a short row for each document, never the
+text.  The driver and a broadcast hold one block of at most ``BLOCK_SEEDS`` seeds
+or ``BLOCK_TERMS`` terms (and one seed at least).  The work of the search is
+seeds times documents.
+
 Sizes are counted in words (what stands between white space).  Results by case:
 rows without an id, text or word have no place in a window; repeated rows are
-as many documents; ties go to the lesser (id, mark), where ``mark`` is a hash
-of the text; an empty table gives no rows.  Other columns don't matter.
+as many documents, of which one at most is a seed or neighbour; ``mark``, a hash
+of the text, tells rows of one id apart; an empty table gives no rows.  Other
+columns don't matter.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.components import cut, shared_folder
+from ..operators.components import cut
 from . import textarrays as ta
 
 WINDOW = 2048
-SHARD_WORDS = 1 << 20
+EVERY = 50
 K1, B = 1.2, 0.75
-SEEDS = 2048
-KEEP = 24
-CLASSES = 33
+UNIT = 64.0
+KEEP = 32
+LEAST = 8
+COMMON = 256  # terms that are columns
+BLOCK_SEEDS = 8192
+BLOCK_TERMS = 4 << 20
+BATCH = 1024
+OPEN = 16  # windows open at a time among the other documents
 U64 = np.uint64
 PLACES = "pack_id bigint, place bigint, doc_id bigint, first_word bigint, words bigint"
-VECTORS = "doc_id bigint, mark bigint, words bigint, terms binary"
-FOUND = "part bigint, found binary"
+PAIRS = "pack_id bigint, doc_id bigint, mark bigint, words bigint, score bigint, tie bigint"
 
 
 def pack_terms(terms: np.ndarray, counts: np.ndarray) -> bytes:
@@ -68,281 +82,340 @@ def unpack_terms(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocks(column: pa.Array) -> Iterator[tuple[int, ta.Words]]:
-    for at in range(0, len(column), 1 << 15):
-        for lo, words in ta.words_of(column.slice(at, 1 << 15)):
+    for at in range(0, len(column), BATCH):
+        for lo, words in ta.words_of(column.slice(at, BATCH)):
             yield at + lo, words
 
 
-def class_of(sizes: np.ndarray) -> np.ndarray:
-    """Class c has the sizes from 2**(c-1) to 2**c - 1."""
-    return np.frexp(sizes.astype(float))[1]
+def term_of(words: ta.Words) -> np.ndarray:
+    return words.hashes() >> U64(16)
+
 
+def bags(words: ta.Words, terms: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, times) of the different terms of each row, in that order."""
+    order = np.lexsort((terms, row))
+    terms, row = terms[order], row[order]
+    new = np.ones(len(terms), bool)
+    new[1:] = (terms[1:] != terms[:-1]) | (row[1:] != row[:-1])
+    heads = np.flatnonzero(new)
+    return row[heads], terms[heads], np.diff(np.append(heads, len(terms)))
 
-def vectors_of(keyed: DataFrame) -> DataFrame:
-    """Size and terms of every document that has words."""
+
+def sizes_of(keyed: DataFrame) -> DataFrame:
+    """(doc_id, mark, words, key, n): a short row for each document that has words; key is the least hash of them, n how often the row stands there."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for lo, words in _blocks(batch.column(2)):
                 rows = np.flatnonzero(words.counts)
-                if not len(rows):
-                    continue
-                key = np.sort((words.row.astype(U64) << U64(48)) | (words.hashes() >> U64(16)))
-                heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                times = np.diff(np.append(heads, len(key)))
-                terms = key[heads] & U64((1 << 48) - 1)
-                bounds = np.searchsorted(key[heads] >> U64(48), np.arange(len(words.counts) + 1))
-                blobs = [pack_terms(terms[bounds[r] : bounds[r + 1]], times[bounds[r] : bounds[r + 1]]) for r in rows]
-                yield pa.RecordBatch.from_arrays([ta.ints(ids[lo + rows]), ta.ints(marks[lo + rows]), ta.ints(words.counts[rows]), pa.array(blobs, pa.binary())], ["doc_id", "mark", "words", "terms"])
+                if len(rows):
+                    key = np.minimum.reduceat(ta.mix(words.hashes() ^ U64(0x5851F42D4C957F2D)), words.first[rows])
+                    ids, marks = (batch.column(i).slice(lo, len(words.counts)).take(pa.array(rows)) for i in (0, 1))
+                    yield pa.RecordBatch.from_arrays([ids, marks, ta.ints(words.counts[rows]), pa.array((key >> U64(1)).astype(np.int64))], ["doc_id", "mark", "words", "key"])
 
-    return keyed.mapInArrow(scan, VECTORS)
+    rows = keyed.mapInArrow(scan, "doc_id bigint, mark bigint, words bigint, key bigint")
+    return rows.groupBy("doc_id", "mark").agg(F.first("words").alias("words"), F.first("key").alias("key"), F.count("*").alias("n"))
 
 
-def _numbered(vectors: DataFrame, shard_words: int) -> tuple[DataFrame, DataFrame, np.ndarray, np.ndarray]:
-    """(at, doc_id, words, terms) in order of (doc_id, mark); (rank, segment, doc_id, words, terms), ranks being dense; place and size by rank."""
-    placed = cut(vectors.orderBy("doc_id", "mark").withColumn("at", F.monotonically_increasing_id()))
-    table = placed.select("at", "words").toArrow()
-    at, sizes = table.column("at").to_numpy(), table.column("words").to_numpy().astype(np.int32)
-    order = np.argsort(at)
-    at, sizes = at[order], sizes[order]
-    held = np.bincount(at >> 33) if len(at) else np.zeros(1, np.int64)
-    offset = (np.cumsum(held) - held).tolist()
-    segment = np.cumsum(sizes, dtype=np.int64) // shard_words
-    turns = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])) if len(at) else np.zeros(1, np.int64)
+def seeds_of(keyed: DataFrame, window: int, every: int) -> DataFrame:
+    """(pack_id, doc_id, mark, first_word, words, room, terms): the pieces that seeds fill by themselves; the last of each has what room is left and the terms."""
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(0).to_numpy()
-            rank = np.array(offset)[at >> 33] + (at & ((1 << 33) - 1))
-            yield pa.RecordBatch.from_arrays([ta.ints(rank), ta.ints(np.searchsorted(turns, rank, "right") - 1), *batch.columns[1:]], ["rank", "segment", "doc_id", "words", "terms"])
-
-    placed = placed.select("at", "doc_id", "words", "terms")
-    return placed, placed.mapInArrow(name, "rank bigint, segment bigint, doc_id bigint, words bigint, terms binary"), at, sizes
-
-
-def index_of(docs: DataFrame, number: int, mean: float, buckets: int) -> DataFrame:
-    """(segment, index): documents by class and rank, terms that another document of the corpus has, and postings with BM25 weights."""
-
-    def vocabulary(table: pa.Table) -> pa.Table:
-        terms = np.sort(np.concatenate([unpack_terms(x)[0] for x in table.column("terms").to_pylist()]))
-        heads = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
-        terms, df = terms[heads], np.diff(np.append(heads, len(terms)))
-        bounds = np.searchsorted((terms * U64(buckets)) >> U64(48), np.arange(buckets + 1))
-        used = np.flatnonzero(np.diff(bounds))
-        blobs = [pack_terms(terms[bounds[b] : bounds[b + 1]], df[bounds[b] : bounds[b + 1]]) for b in used]
-        return pa.table({"bucket": ta.ints(used), "asked": ta.ints(np.full(len(used), table.column("segment")[0].as_py())), "terms": pa.array(blobs, pa.binary())})
-
-    def add_up(table: pa.Table) -> pa.Table:
-        asked, blobs = table.column("asked").to_pylist(), table.column("terms").to_pylist()
-        parts = [unpack_terms(x) for x in blobs]
-        terms, place = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
-        total = np.bincount(place, np.concatenate([d for _, d in parts])).astype(np.int64)
-        out, at = [], 0
-        for part, _ in parts:
-            here = place[at : at + len(part)]
-            here = here[total[here] > 1]  # a term of one document finds nothing
-            out.append(pack_terms(terms[here], total[here]))
-            at += len(part)
-        return pa.table({"segment": ta.ints(np.array(asked)), "answer": pa.array(out, pa.binary())})
-
-    def build(mine: pa.Table, answers: pa.Table) -> pa.Table:
-        got = [unpack_terms(x) for x in answers.column("answer").to_pylist()]
-        known, df = np.concatenate([np.zeros(0, U64), *(t for t, _ in got)]), np.concatenate([np.zeros(0, np.int64), *(d for _, d in got)])
-        order = np.argsort(known)
-        known, df = known[order], df[order].astype(float)
-        ranks, sizes = mine.column("rank").to_numpy(), mine.column("words").to_numpy()
-        order = np.lexsort((ranks, class_of(sizes)))
-        ranks, sizes, blobs = ranks[order], sizes[order], mine.column("terms").to_pylist()
-        parts = [unpack_terms(blobs[i]) for i in order]
-        doc, terms, times = np.repeat(np.arange(len(parts)), [len(t) for t, _ in parts]), np.concatenate([t for t, _ in parts]), np.concatenate([c for _, c in parts])
-        at = np.searchsorted(known, terms)
-        at[at == len(known)] = 0
-        has = known[at] == terms if len(known) else np.zeros(len(terms), bool)
-        doc, term, times = doc[has], at[has], times[has]
-        by = np.argsort(term, kind="stable")
-        doc, term, times = doc[by], term[by], times[by]
-        idf = np.log1p((number - df + 0.5) / (df + 0.5))
-        weight = idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[doc] / mean))
-        starts = np.searchsorted(term, np.arange(len(df) + 1))
-        blob = zstandard.compress(ta.pack(ranks, sizes.astype(np.int32), known, starts, doc.astype(np.int32), weight), 1)
-        return pa.table({"segment": mine.column("segment").slice(0, 1), "index": pa.array([blob], pa.binary())})
-
-    by_segment = docs.groupBy("segment")
-    asked = by_segment.applyInArrow(vocabulary, "bucket bigint, asked bigint, terms binary")
-    answers = asked.groupBy("bucket").applyInArrow(add_up, "segment bigint, answer binary")
-    return by_segment.cogroup(answers.groupBy("segment")).applyInArrow(build, "segment bigint, index binary")
-
-
-def best_of(found: list[tuple[np.ndarray, ...]], keep: int) -> tuple[np.ndarray, ...]:
-    """The ``keep`` best of each window and class of several lists (window, class, score, rank, more); more: the class has others."""
-    q, c, score, rank, more = (np.concatenate([f[i] for f in found]) for i in range(5))
-    order = np.lexsort((rank, -score, c, q))
-    q, c, score, rank, more = q[order], c[order], score[order], rank[order], more[order]
-    key = q * CLASSES + c
-    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    held = np.diff(np.append(heads, len(key)))
-    cut_off = np.repeat((np.logical_or.reduceat(more, heads) if len(heads) else more) | (held > keep), held)
-    stays = np.arange(len(key)) - np.repeat(heads, held) < keep
-    return q[stays], c[stays], score[stays], rank[stays], cut_off[stays]
-
-
-def search_segment(blob: bytes, terms: np.ndarray, first: np.ndarray, seeds: np.ndarray, rooms: np.ndarray, unused: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
-    """For each window the best unused documents of a segment that fit, by class."""
-    ranks, sizes, known, starts, doc, weight = ta.unpack(zstandard.decompress(blob))
-    free = unused[ranks]
-    n, out = len(ranks), []
-    bounds = np.searchsorted(class_of(sizes), np.arange(CLASSES + 1))
-    live = [c for c in range(CLASSES) if free[bounds[c] : bounds[c + 1]].any()]
-    if live and len(known):
-        alive = free[doc]
-        starts = np.concatenate([[0], np.cumsum(alive)])[starts]
-        doc, weight = doc[alive], weight[alive]
-        at = np.searchsorted(known, terms)
-        at[at == len(known)] = 0
-        has = known[at] == terms
-        mine = np.concatenate([[0], np.cumsum(has)])[first]
-        at = at[has]
-        begin, length = starts[at], starts[at + 1] - starts[at]
-        for q in range(len(seeds)):
-            hit = ta.ranges(begin[mine[q] : mine[q + 1]], length[mine[q] : mine[q + 1]])
-            if not len(hit):
-                continue
-            score = np.bincount(doc[hit], weight[hit], n)
-            score[(sizes > rooms[q]) | (ranks == seeds[q])] = 0.0
-            for c in live:
-                if 1 << (c - 1) > rooms[q]:
-                    break
-                sub = score[bounds[c] : bounds[c + 1]]
-                got = np.flatnonzero(sub > 0)
-                more = len(got) > keep
-                if more:
-                    least = np.partition(sub[got], len(got) - keep)[len(got) - keep]
-                    above = got[sub[got] > least]
-                    got = np.concatenate([above, got[sub[got] == least][: keep - len(above)]])
-                if len(got):
-                    out.append((np.full(len(got), q), np.full(len(got), c), sub[got], ranks[bounds[c] + got], np.full(len(got), more)))
-    none = np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, none.astype(float), none, none.astype(bool))
-
-
-def pick(room: int, found: dict[int, tuple[list, list, bool]], unused: np.ndarray, sizes: np.ndarray) -> tuple[list[int], bool]:
-    """The ranks that follow in a window, and whether its lists ended before it could be told what comes next."""
-    at, out = dict.fromkeys(found, 0), []
-    while True:
-        best, doubt = None, None
-        for c, (scores, ranks, more) in found.items():
-            if 1 << (c - 1) > room:
-                continue
-            i = at[c]
-            while i < len(ranks) and not (unused[ranks[i]] and sizes[ranks[i]] <= room):
-                i += 1
-            at[c] = i
-            if i < len(ranks):
-                best = min(best or (0.0, 0), (-scores[i], ranks[i]))
-            elif more:
-                doubt = min(doubt or (0.0, 0), (-scores[-1], ranks[-1]))
-        if doubt and (not best or doubt < best):
-            return out, True
-        if not best:
-            return out, False
-        out.append(best[1])
-        unused[best[1]] = False
-        room -= int(sizes[best[1]])
-
-
-def windows(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, seeds: int = SEEDS, keep: int = KEEP) -> DataFrame:
-    """(pack_id, place, doc_id, first_word, words): the pieces of each window in order."""
-    spark = docs.sparkSession
-    context = spark.sparkContext
-    placed, numbered, at, sizes = _numbered(vectors_of(ta.keyed(docs)), shard_words)
-    number = len(sizes)
-    if not number:
-        return spark.createDataFrame([], PLACES)
-    folder = f"{shared_folder(spark)}/bm25pack-{uuid.uuid4()}"
-    before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-    index = cut(index_of(numbered, number, before[-1] / number, max(12, int(before[-1] // shard_words) + 1)))
-    unused = np.ones(number, bool)
-    packs = next_seed = rounds = 0
-    waiting: list[tuple[int, int, int, int]] = []  # seed, room, pack, place
-    while waiting or next_seed < number:
-        fresh = (next_seed + np.flatnonzero(unused[next_seed : next_seed + 16 * seeds]))[: max(0, seeds - len(waiting))]
-        rooms = [w[1] for w in waiting] + [window - ((int(s) - 1) % window + 1) for s in sizes[fresh]]
-        asking = np.concatenate([np.array([w[0] for w in waiting], np.int64), fresh])
-        found = _search(index, placed, at[asking], asking, np.array(rooms, np.int64), unused, keep)
-        rows: list[tuple[int, int, int, int, int]] = []
-        still = []
-        for q, seed in enumerate(asking.tolist()):
-            if q < len(waiting):
-                _, room, pack, place = waiting[q]
-            elif unused[seed]:
-                unused[seed] = False
-                size, done, room, place = int(sizes[seed]), 0, rooms[q], 1
-                high = int(before[seed] // shard_words) << 32
-                while size - done > window:
-                    rows.append((packs + high, 0, seed, done, window))
-                    packs, done = packs + 1, done + window
-                pack = packs + high
-                rows.append((pack, 0, seed, done, size - done))
-                packs += 1
-            else:
-                continue
-            chosen, doubt = pick(room, found.get(q, {}), unused, sizes)
-            for rank in chosen:
-                rows.append((pack, place, rank, 0, int(sizes[rank])))
-                place, room = place + 1, room - int(sizes[rank])
-            if doubt:
-                still.append((seed, room, pack, place))
-        if len(fresh):
-            next_seed = int(fresh[-1]) + 1
-        elif len(waiting) < seeds:
-            next_seed = min(number, next_seed + 16 * seeds)
-        waiting = still
-        if rows:
-            columns = np.array(rows, np.int64)
-            spark.createDataFrame(pa.table([ta.ints(columns[:, i]) for i in range(5)], ["pack_id", "place", "rank", "first_word", "words"])).coalesce(1).write.mode("append").parquet(folder)
-        rounds += 1
-        if rounds % 8 == 0:
-            context._jvm.System.gc()  # shuffle files of past rounds
-    filled = spark.read.schema("pack_id bigint, place bigint, rank bigint, first_word bigint, words bigint").parquet(folder)
-    return filled.join(numbered.select("rank", "doc_id"), "rank").select("pack_id", "place", "doc_id", "first_word", "words")
-
-
-def _search(index: DataFrame, placed: DataFrame, places: np.ndarray, asking: np.ndarray, rooms: np.ndarray, unused: np.ndarray, keep: int) -> dict[int, dict[int, tuple[list, list, bool]]]:
-    """By window and class the scores and ranks of the best documents of all segments, and whether there are more."""
-    context = index.sparkSession.sparkContext
-    got = {r["at"]: unpack_terms(bytes(r.terms))[0] for r in placed.filter(F.col("at").isin(places.tolist())).select("at", "terms").collect()}
-    queries = [got[x] for x in places.tolist()]
-    first = np.concatenate([[0], np.cumsum([len(t) for t in queries])])
-    shared = context.broadcast((np.concatenate([np.zeros(0, U64), *queries]), first, asking, rooms, np.packbits(unused), len(unused)))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, first, asking, rooms, bits, n = shared.value
-        free, best = np.unpackbits(bits, count=n).astype(bool), None
+            for lo, words in _blocks(batch.column(2)):
+                rows = np.flatnonzero(words.counts)
+                row, terms, times = bags(words, term_of(words), words.row)
+                bounds = np.searchsorted(row, np.arange(len(words.counts) + 1))
+                blobs = [pack_terms(terms[bounds[r] : bounds[r + 1]], times[bounds[r] : bounds[r + 1]]) for r in rows]
+                ids, marks = (batch.column(i).slice(lo, len(words.counts)).take(pa.array(rows)) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([ids, marks, ta.ints(words.counts[rows]), pa.array(blobs, pa.binary())], ["doc_id", "mark", "words", "terms"])
+
+    found = keyed.filter(F.col("doc_id") % every == 0).mapInArrow(scan, "doc_id bigint, mark bigint, words bigint, terms binary")
+    once = found.groupBy("doc_id", "mark").agg(F.first("words").alias("size"), F.first("terms").alias("terms"))
+    last = F.floor((F.col("size") - 1) / window)
+    pieces = once.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("first_word", F.col("piece") * window)
+    held = F.least(F.lit(window).cast("bigint"), F.col("size") - F.col("first_word"))
+    ends = F.col("piece") == last
+    pieces = pieces.select("doc_id", "mark", "first_word", held.alias("words"), F.when(ends, window - held).alias("room"), F.when(ends, F.col("terms")).alias("terms"))
+    return cut(pieces.withColumn("pack_id", F.monotonically_increasing_id()))
+
+
+@dataclass
+class Block:
+    """Some seeds: their ids, what room each has, their terms in order, and for each term the seeds that have it."""
+
+    pack: np.ndarray
+    name: np.ndarray  # a hash of a seed's id and mark
+    room: np.ndarray
+    terms: np.ndarray
+    first: np.ndarray
+    seed: np.ndarray
+
+
+def _block(rows: list) -> Block:
+    parts = [unpack_terms(bytes(r.terms))[0] for r in rows]
+    terms, place = np.unique(np.concatenate([np.zeros(0, U64), *parts]), return_inverse=True)
+    seed = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
+    order = np.argsort(place, kind="stable")
+    name = hash_of(np.array([r.doc_id for r in rows], np.int64), np.array([r.mark for r in rows], np.int64))
+    return Block(np.array([r.pack_id for r in rows], np.int64), name, np.array([r.room for r in rows], np.int64), terms, np.searchsorted(place[order], np.arange(len(terms) + 1)), seed[order])
+
+
+def blocks_of(seeds: DataFrame, most: int) -> Iterator[Block]:
+    """The seeds in blocks; one is on the driver at a time."""
+    rows, held = [], 0
+    for row in seeds.select("pack_id", "doc_id", "mark", "room", "terms").toLocalIterator():
+        rows.append(row)
+        held += len(row.terms) // 4
+        if len(rows) >= most or held >= BLOCK_TERMS:
+            yield _block(rows)
+            rows, held = [], 0
+    if rows:
+        yield _block(rows)
+
+
+def hash_of(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    return ta.mix(ta.mix(ids.astype(np.int64).view(U64) + U64(0x9E3779B97F4A7C15)) ^ marks.astype(np.int64).view(U64))
+
+
+def locate(terms: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where each term stands among the known ones, or -1."""
+    if not len(known):
+        return np.full(len(terms), -1)
+    at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+    return np.where(known[at] == terms, at, -1)
+
+
+def frequencies(keyed: DataFrame, terms: np.ndarray, tasks: int) -> np.ndarray:
+    """In how many documents each term stands."""
+    shared = keyed.sparkSession.sparkContext.broadcast(terms)
+    each = 1 << 16
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        sums = np.zeros(len(known), np.int64)
         for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                found = search_segment(blob, terms, first, asking, rooms, free, keep)
-                best = best_of([found] if best is None else [best, found], keep)
-        if best is not None:
-            part = best[0] // 128
-            for p in np.unique(part):
-                here = part == p
-                yield pa.RecordBatch.from_arrays([ta.ints(np.array([p])), pa.array([ta.pack(*(x[here] for x in best))], pa.binary())], ["part", "found"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        best = best_of([ta.unpack(x) for x in table.column("found").to_pylist()], keep)
-        return pa.table({"part": table.column("part").slice(0, 1), "found": pa.array([ta.pack(*best)], pa.binary())})
-
-    out: dict[int, dict[int, tuple[list, list, bool]]] = {}
-    for row in index.select("index").mapInArrow(search, FOUND).groupBy("part").applyInArrow(merge, FOUND).collect():
-        q, c, score, rank, more = ta.unpack(bytes(row.found))
-        key = q * CLASSES + c
-        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        for a, b in zip(heads, np.append(heads[1:], len(key)), strict=True):
-            out.setdefault(int(q[a]), {})[int(c[a])] = (score[a:b].tolist(), rank[a:b].tolist(), bool(more[a]))
+            for _, words in _blocks(batch.column(2)):
+                at = locate(term_of(words), known)
+                hit = np.flatnonzero(at >= 0)
+                both = np.unique(at[hit] * len(words.counts) + words.row[hit])
+                sums += np.bincount(both // len(words.counts), minlength=len(known))
+        for c in range(0, len(sums), each):
+            part = sums[c : c + each]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([ta.ints(np.array([c])), pa.array([part.tobytes()], pa.binary())], ["chunk", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in table.column("sums").to_pylist())
+        return pa.table({"chunk": table.column("chunk").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros(len(terms), np.int64)
+    kinds = "chunk bigint, sums binary"
+    for r in keyed.coalesce(tasks).mapInArrow(scan, kinds).groupBy("chunk").applyInArrow(add, kinds).toLocalIterator():
+        part = np.frombuffer(bytes(r.sums), np.int64)
+        out[r.chunk : r.chunk + len(part)] = part
     shared.destroy()
     return out
 
 
+class Best:
+    """The ``keep`` best documents of each seed so far, by score and tie."""
+
+    def __init__(self, seeds: int, keep: int):
+        self.keep, self.least = keep, np.ones(seeds, np.float32)
+        self.found = [np.zeros(0, np.int64) for _ in range(6)]  # seed, score, tie, doc_id, mark, words
+        self.new: list[list[np.ndarray]] = []
+        self.held = 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.new.append(list(columns))
+        self.held += len(columns[0])
+        if self.held > max(100_000, len(self.found[0])):
+            self.settle()
+
+    def settle(self) -> None:
+        columns = [np.concatenate(x) for x in zip(self.found, *self.new, strict=True)]
+        order = np.lexsort((-columns[2], -columns[1], columns[0]))
+        columns = [c[order] for c in columns]
+        seed = columns[0]
+        heads = np.searchsorted(seed, seed)
+        # rows that stand there several times are one document
+        same = np.zeros(len(seed), bool)
+        same[1:] = (seed[1:] == seed[:-1]) & (columns[3][1:] == columns[3][:-1]) & (columns[4][1:] == columns[4][:-1])
+        rank = np.cumsum(~same)
+        rank = rank - rank[heads]
+        stays = ~same & (rank < self.keep)
+        full = ~same & (rank == self.keep - 1)
+        self.least[seed[full]] = columns[1][full]
+        self.found = [c[stays] for c in columns]
+        self.new, self.held = [], 0
+
+
+def score_batch(words: ta.Words, sizes: np.ndarray, block: Block, columns: np.ndarray, postings: tuple, idf: np.ndarray, mean: float) -> np.ndarray:
+    """The scores of all seeds of the block (rows) with the documents of the batch."""
+    matrix, rare_first, rare_seed = postings
+    at = locate(term_of(words), block.terms)
+    hit = np.flatnonzero(at >= 0)
+    doc, term, times = bags(words, at[hit], words.row[hit])
+    impact = np.rint(UNIT * idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[doc] / mean))).astype(np.float32)
+    dense = columns[term] >= 0
+    mine = np.zeros((len(sizes), matrix.shape[1]), np.float32)
+    mine[doc[dense], columns[term[dense]]] = impact[dense]
+    scores = matrix @ mine.T
+    doc, term, impact = doc[~dense], term[~dense], impact[~dense]
+    n = rare_first[term + 1] - rare_first[term]
+    cells = rare_seed[ta.ranges(rare_first[term], n)] * len(sizes) + np.repeat(doc, n)
+    np.add.at(scores.reshape(-1), cells, np.repeat(impact, n))
+    return scores
+
+
+def search(keyed: DataFrame, block: Block, number: int, mean: float, keep: int, every: int, tasks: int) -> DataFrame:
+    """(pack_id, doc_id, mark, words, score, tie): for each seed of the block its best documents that fit and are no seeds, by shard."""
+    df = frequencies(keyed, block.terms, tasks)
+    useful = np.flatnonzero(df > 1)  # a term of one document finds nothing
+    n = np.diff(block.first)
+    seed = block.seed[ta.ranges(block.first[useful], n[useful])]
+    block = Block(block.pack, block.name, block.room, block.terms[useful], np.concatenate([[0], np.cumsum(n[useful])]), seed)
+    df, n = df[useful].astype(float), n[useful]
+    idf = np.log1p((number - df + 0.5) / (df + 0.5))
+    columns = np.full(len(df), -1)
+    frequent = np.argsort(-df * n, kind="stable")[:COMMON]
+    columns[frequent] = np.arange(len(frequent))
+    shared = keyed.sparkSession.sparkContext.broadcast((block, idf, columns))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, idf, columns = shared.value
+        seeds = len(block.pack)
+        term = np.repeat(np.arange(len(idf)), np.diff(block.first))
+        dense = columns[term] >= 0
+        matrix = np.zeros((seeds, max(1, int((columns >= 0).sum()))), np.float32)
+        matrix[block.seed[dense], columns[term[dense]]] = 1
+        postings = matrix, np.searchsorted(term[~dense], np.arange(len(idf) + 1)), block.seed[~dense]
+        best, room, most = Best(seeds, keep), block.room.astype(np.int32)[:, None], int(block.room.max(initial=0))
+        for batch in batches:
+            ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for lo, words in _blocks(batch.column(2)):
+                here = slice(lo, lo + len(words.counts))
+                sizes = words.counts.astype(np.int32)
+                scores = score_batch(words, sizes, block, columns, postings, idf, mean)
+                scores[(sizes[None, :] > room) | ((ids[here] % every == 0) | (sizes == 0) | (sizes > most))[None, :]] = 0
+                bar = best.least
+                if not len(best.found[0]) and scores.shape[1] > keep:
+                    bar = np.maximum(bar, np.partition(scores, scores.shape[1] - keep, axis=1)[:, scores.shape[1] - keep])
+                cells = np.flatnonzero(scores.reshape(-1) >= np.repeat(bar, len(sizes)))
+                seed, doc = cells // len(sizes), cells % len(sizes)
+                doc_id, mark = ids[here][doc], marks[here][doc]
+                tie = ta.mix(block.name[seed] ^ hash_of(doc_id, mark)).view(np.int64)
+                best.add(seed, scores.reshape(-1)[cells].astype(np.int64), tie, doc_id, mark, sizes[doc].astype(np.int64))
+                if bar is not best.least:
+                    best.settle()
+        best.settle()
+        seed, score, tie, doc_id, mark, size = best.found
+        yield pa.RecordBatch.from_arrays([ta.ints(c) for c in (block.pack[seed], doc_id, mark, size, score, tie)], ["pack_id", "doc_id", "mark", "words", "score", "tie"])
+
+    return keyed.coalesce(tasks).mapInArrow(scan, PAIRS)
+
+
+def neighbours(keyed: DataFrame, seeds: DataFrame, number: int, mean: float, keep: int = KEEP, every: int = EVERY, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+    """(pack_id, doc_id, mark, words, score, tie): the best ``keep`` documents of each seed that fit its room, of the whole corpus."""
+    spark = keyed.sparkSession
+    tasks = max(2, 2 * spark.sparkContext.defaultParallelism)
+    lists = []
+    for block in blocks_of(seeds, block_seeds):
+        shards = search(keyed, block, number, mean, keep, every, tasks)
+        packed = shards.groupBy("pack_id").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("score", "tie", "doc_id", "mark", "words")))), 1, keep).alias("best"))  # keep a task
+        lists.append(cut(packed.select("pack_id", F.inline("best")).select("pack_id", "doc_id", "mark", "words", "score", "tie")))
+    out = lists[0] if lists else spark.createDataFrame([], PAIRS)
+    for more in lists[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def assign(pairs: DataFrame, rooms: DataFrame, turn: int) -> tuple[DataFrame, DataFrame, int]:
+    """(pack_id, doc_id, mark, words, turn, place) of what seeds take, the room (pack_id, room) that is left, and the next turn."""
+    spark = pairs.sparkSession
+    taken = None
+    take = F.expr(
+        "aggregate(offers, named_struct('room', room, 'got', cast(array() as array<struct<score:bigint,tie:bigint,doc_id:bigint,mark:bigint,words:bigint>>)), "
+        "(a, x) -> if(x.words <= a.room, named_struct('room', a.room - x.words, 'got', concat(a.got, array(x))), a))"
+    )
+    while pairs.head(1):
+        best = pairs.groupBy("doc_id", "mark").agg(F.max(F.struct("score", "tie", "pack_id", "words")).alias("b")).select("b.pack_id", F.struct("b.score", "b.tie", "doc_id", "mark", "b.words").alias("x"))
+        offers = best.groupBy("pack_id").agg(F.reverse(F.array_sort(F.collect_list("x"))).alias("offers"))  # one list at most
+        filled = cut(offers.join(rooms, "pack_id").select("pack_id", take.alias("a")).select("pack_id", "a.room", "a.got"))
+        got = filled.select("pack_id", F.posexplode("got").alias("place", "x")).select("pack_id", "x.doc_id", "x.mark", "x.words", F.lit(turn).alias("turn"), "place")
+        rooms = cut(rooms.join(filled.select("pack_id", F.col("room").alias("left")), "pack_id", "left").select("pack_id", F.coalesce("left", "room").alias("room")))
+        taken = got if taken is None else taken.unionByName(got)
+        pairs = cut(pairs.join(got.select("doc_id", "mark"), ["doc_id", "mark"], "left_anti").join(rooms.withColumnRenamed("room", "left"), "pack_id").filter("words <= left").drop("left"))
+        turn += 1
+    none = spark.createDataFrame([], "pack_id bigint, doc_id bigint, mark bigint, words bigint, turn int, place int")
+    return taken if taken is not None else none, rooms, turn
+
+
+def fill(rest: DataFrame, window: int) -> DataFrame:
+    """Windows of the documents (doc_id, mark, words, key, n) that are in no seed's window, in order of key, id and mark."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        number = (1 << 62) | ((task.partitionId() if task else 0) << 33)
+        ready: list[list[int]] = []  # pack, room, place
+        for batch in batches:
+            out: list[tuple[int, int, int, int, int]] = []
+            for doc, size in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                done = 0
+                while size - done > window:
+                    out.append((number, 0, doc, done, window))
+                    number, done = number + 1, done + window
+                need = size - done
+                slot = next((w for w in ready if w[1] >= need), None)
+                if slot is None:
+                    slot = [number, window, 0]
+                    number += 1
+                    ready.append(slot)
+                    if len(ready) > OPEN:
+                        ready.remove(min(ready, key=lambda w: w[1]))
+                out.append((slot[0], slot[2], doc, done, need))
+                slot[1] -= need
+                slot[2] += 1
+            table = np.array(out, np.int64).reshape(-1, 5)
+            yield pa.RecordBatch.from_arrays([ta.ints(table[:, i]) for i in range(5)], ["pack_id", "place", "doc_id", "first_word", "words"])
+
+    each = rest.filter("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))).select("doc_id", "mark", "words", "key")
+    return each.repartitionByRange("key", "doc_id", "mark").sortWithinPartitions("key", "doc_id", "mark").mapInArrow(scan, PLACES)
+
+
+def windows(docs: DataFrame, window: int = WINDOW, every: int = EVERY, keep: int = KEEP, least: int = LEAST, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+    """(pack_id, place, doc_id, first_word, words): the pieces of each window in order."""
+    keyed = ta.keyed(docs)
+    held = cut(sizes_of(keyed))
+    total = held.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("words")).alias("words")).first()
+    if not total.n:
+        return docs.sparkSession.createDataFrame([], PLACES)
+    number, mean = total.n, total.words / total.n
+    seeds = seeds_of(keyed, window, every)
+    rooms = cut(seeds.filter("room is not null").select("pack_id", "room"))
+    asking, turn, taken = seeds.filter("room > 0"), 1, None
+    while asking.head(1):
+        lists = neighbours(keyed, asking, number, mean, keep, every, block_seeds)
+        free = lists if taken is None else lists.join(taken.select("doc_id", "mark"), ["doc_id", "mark"], "left_anti")
+        got, rooms, turn = assign(cut(free), rooms, turn)
+        taken = cut(got if taken is None else taken.unionByName(got))
+        # a full list of which too little was free
+        lost = lists.join(taken.select("doc_id", "mark", F.col("pack_id").alias("winner")), ["doc_id", "mark"], "left")
+        counted = lost.groupBy("pack_id").agg(F.count("*").alias("listed"), F.sum((F.col("winner").isNull() | (F.col("winner") == F.col("pack_id"))).cast("int")).alias("free"))
+        short = counted.filter((F.col("listed") >= keep) & (F.col("free") < least)).join(rooms.filter("room > 0"), "pack_id").select("pack_id", "room")
+        asking = cut(seeds.filter("room > 0").drop("room").join(short, "pack_id"))
+        keep *= 4
+    own = seeds.select("pack_id", F.lit(0).cast("bigint").alias("place"), "doc_id", "first_word", "words")
+    if taken is None:
+        rest = held
+    else:
+        turns = taken.groupBy("pack_id").agg(F.array_sort(F.collect_list(F.struct("turn", "place", "doc_id", "words"))).alias("got"))  # a window's documents
+        own = own.unionByName(turns.select("pack_id", F.posexplode("got").alias("at", "x")).select("pack_id", (F.col("at") + 1).cast("bigint").alias("place"), "x.doc_id", F.lit(0).cast("bigint").alias("first_word"), "x.words"))
+        rest = held.join(taken.select("doc_id", "mark", F.lit(1).alias("used")), ["doc_id", "mark"], "left").withColumn("n", F.col("n") - F.coalesce("used", F.lit(0))).drop("used")
+    rest = rest.withColumn("n", F.col("n") - (F.col("doc_id") % every == 0).cast("int"))
+    return own.unionByName(fill(rest, window))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows(ta.documents(spark, sf_dir))
