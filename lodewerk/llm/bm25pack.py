@@ -57,13 +57,14 @@ K1, B = 1.2, 0.75
 UNIT = 64.0
 KEEP = 32
 LEAST = 8
-COMMON = 256  # terms that are columns
+COMMON = 512  # terms that are columns
 BLOCK_SEEDS = 8192
 BLOCK_TERMS = 4 << 20
 BATCH = 1024
 OPEN = 16  # windows open at a time among the other documents
 U64 = np.uint64
 PLACES = "pack_id bigint, place bigint, doc_id bigint, first_word bigint, words bigint"
+KNOWN = "pack_id bigint, df binary"
 PAIRS = "pack_id bigint, doc_id bigint, mark bigint, words bigint, score bigint, tie bigint"
 
 
@@ -150,6 +151,7 @@ class Block:
     terms: np.ndarray
     first: np.ndarray
     seed: np.ndarray
+    df: np.ndarray | None = None  # in how many documents each term stands, once that is known
 
 
 def _block(rows: list) -> Block:
@@ -158,13 +160,17 @@ def _block(rows: list) -> Block:
     seed = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
     order = np.argsort(place, kind="stable")
     name = hash_of(np.array([r.doc_id for r in rows], np.int64), np.array([r.mark for r in rows], np.int64))
-    return Block(np.array([r.pack_id for r in rows], np.int64), name, np.array([r.room for r in rows], np.int64), terms, np.searchsorted(place[order], np.arange(len(terms) + 1)), seed[order])
+    df = None
+    if rows[0].df is not None:
+        df = np.zeros(len(terms), np.int64)
+        df[place] = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(zstandard.decompress(bytes(r.df)), np.int64) for r in rows)])
+    return Block(np.array([r.pack_id for r in rows], np.int64), name, np.array([r.room for r in rows], np.int64), terms, np.searchsorted(place[order], np.arange(len(terms) + 1)), seed[order], df)
 
 
 def blocks_of(seeds: DataFrame, most: int) -> Iterator[Block]:
     """The seeds in blocks; one is on the driver at a time."""
     rows, held = [], 0
-    for row in seeds.select("pack_id", "doc_id", "mark", "room", "terms").toLocalIterator():
+    for row in seeds.select("pack_id", "doc_id", "mark", "room", "terms", "df").toLocalIterator():
         rows.append(row)
         held += len(row.terms) // 4
         if len(rows) >= most or held >= BLOCK_TERMS:
@@ -178,12 +184,38 @@ def hash_of(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return ta.mix(ta.mix(ids.astype(np.int64).view(U64) + U64(0x9E3779B97F4A7C15)) ^ marks.astype(np.int64).view(U64))
 
 
-def locate(terms: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Where each term stands among the known ones, or -1."""
-    if not len(known):
-        return np.full(len(terms), -1)
-    at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
-    return np.where(known[at] == terms, at, -1)
+class Lexicon:
+    """Sorted 48-bit terms with a table of where those with the same first bits begin: they are hashes, so there are few of each."""
+
+    def __init__(self, terms: np.ndarray):
+        bits = max(1, int(len(terms)).bit_length() + 1)
+        self.terms, self.shift = terms, U64(48 - bits)
+        self.starts = np.searchsorted(terms >> self.shift, np.arange((1 << bits) + 1).astype(U64)).astype(np.int32)
+
+    def locate(self, terms: np.ndarray) -> np.ndarray:
+        """Where each term stands among the known ones, or -1."""
+        out = np.full(len(terms), -1, np.int64)
+        slot = (terms >> self.shift).astype(np.int64)
+        at, end = self.starts[slot], self.starts[slot + 1]
+        live = np.flatnonzero(at < end)
+        while len(live):
+            here = at[live]
+            same = self.terms[here] == terms[live]
+            out[live[same]] = here[same]
+            live = live[~same]
+            at[live] += 1
+            live = live[at[live] < end[live]]
+        return out
+
+
+def counted(row: np.ndarray, term: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, times) of the different terms of each row, in that order; terms are numbers below ``terms``."""
+    key = np.sort(row * max(terms, 1) + term)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    heads = np.flatnonzero(new)
+    row, term = np.divmod(key[heads], max(terms, 1))
+    return row, term, np.diff(np.append(heads, len(key)))
 
 
 def frequencies(keyed: DataFrame, terms: np.ndarray, tasks: int) -> np.ndarray:
@@ -192,14 +224,13 @@ def frequencies(keyed: DataFrame, terms: np.ndarray, tasks: int) -> np.ndarray:
     each = 1 << 16
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        sums = np.zeros(len(known), np.int64)
+        lexicon = Lexicon(shared.value)
+        sums = np.zeros(len(shared.value), np.int64)
         for batch in batches:
             for _, words in _blocks(batch.column(2)):
-                at = locate(term_of(words), known)
+                at = lexicon.locate(term_of(words))
                 hit = np.flatnonzero(at >= 0)
-                both = np.unique(at[hit] * len(words.counts) + words.row[hit])
-                sums += np.bincount(both // len(words.counts), minlength=len(known))
+                sums += np.bincount(counted(words.row[hit], at[hit], len(sums))[1], minlength=len(sums))
         for c in range(0, len(sums), each):
             part = sums[c : c + each]
             if part.any():
@@ -251,12 +282,12 @@ class Best:
         self.new, self.held = [], 0
 
 
-def score_batch(words: ta.Words, sizes: np.ndarray, block: Block, columns: np.ndarray, postings: tuple, idf: np.ndarray, mean: float) -> np.ndarray:
+def score_batch(words: ta.Words, sizes: np.ndarray, lexicon: Lexicon, columns: np.ndarray, postings: tuple, idf: np.ndarray, mean: float) -> np.ndarray:
     """The scores of all seeds of the block (rows) with the documents of the batch."""
     matrix, rare_first, rare_seed = postings
-    at = locate(term_of(words), block.terms)
+    at = lexicon.locate(term_of(words))
     hit = np.flatnonzero(at >= 0)
-    doc, term, times = bags(words, at[hit], words.row[hit])
+    doc, term, times = counted(words.row[hit], at[hit], len(idf))
     impact = np.rint(UNIT * idf[term] * times * (K1 + 1) / (times + K1 * (1 - B + B * sizes[doc] / mean))).astype(np.float32)
     dense = columns[term] >= 0
     mine = np.zeros((len(sizes), matrix.shape[1]), np.float32)
@@ -264,14 +295,16 @@ def score_batch(words: ta.Words, sizes: np.ndarray, block: Block, columns: np.nd
     scores = matrix @ mine.T
     doc, term, impact = doc[~dense], term[~dense], impact[~dense]
     n = rare_first[term + 1] - rare_first[term]
-    cells = rare_seed[ta.ranges(rare_first[term], n)] * len(sizes) + np.repeat(doc, n)
+    ends = np.cumsum(n)
+    at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) - np.repeat((ends - n - rare_first[term]).astype(np.int32), n)
+    cells = rare_seed[at] * np.int32(len(sizes)) + np.repeat(doc.astype(np.int32), n)
     np.add.at(scores.reshape(-1), cells, np.repeat(impact, n))
     return scores
 
 
 def search(keyed: DataFrame, block: Block, number: int, mean: float, keep: int, every: int, tasks: int) -> DataFrame:
     """(pack_id, doc_id, mark, words, score, tie): for each seed of the block its best documents that fit and are no seeds, by shard."""
-    df = frequencies(keyed, block.terms, tasks)
+    df = block.df
     useful = np.flatnonzero(df > 1)  # a term of one document finds nothing
     n = np.diff(block.first)
     seed = block.seed[ta.ranges(block.first[useful], n[useful])]
@@ -290,14 +323,15 @@ def search(keyed: DataFrame, block: Block, number: int, mean: float, keep: int,
         dense = columns[term] >= 0
         matrix = np.zeros((seeds, max(1, int((columns >= 0).sum()))), np.float32)
         matrix[block.seed[dense], columns[term[dense]]] = 1
-        postings = matrix, np.searchsorted(term[~dense], np.arange(len(idf) + 1)), block.seed[~dense]
+        postings = matrix, np.searchsorted(term[~dense], np.arange(len(idf) + 1)), block.seed[~dense].astype(np.int32)
+        lexicon = Lexicon(block.terms)
         best, room, most = Best(seeds, keep), block.room.astype(np.int32)[:, None], int(block.room.max(initial=0))
         for batch in batches:
             ids, marks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for lo, words in _blocks(batch.column(2)):
                 here = slice(lo, lo + len(words.counts))
                 sizes = words.counts.astype(np.int32)
-                scores = score_batch(words, sizes, block, columns, postings, idf, mean)
+                scores = score_batch(words, sizes, lexicon, columns, postings, idf, mean)
                 scores[(sizes[None, :] > room) | ((ids[here] % every == 0) | (sizes == 0) | (sizes > most))[None, :]] = 0
                 bar = best.least
                 if not len(best.found[0]) and scores.shape[1] > keep:
@@ -316,21 +350,37 @@ def search(keyed: DataFrame, block: Block, number: int, mean: float, keep: int,
     return keyed.coalesce(tasks).mapInArrow(scan, PAIRS)
 
 
-def neighbours(keyed: DataFrame, seeds: DataFrame, number: int, mean: float, keep: int = KEEP, every: int = EVERY, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
-    """(pack_id, doc_id, mark, words, score, tie): the best ``keep`` documents of each seed that fit its room, of the whole corpus."""
+def neighbours(keyed: DataFrame, seeds: DataFrame, number: int, mean: float, keep: int = KEEP, every: int = EVERY, block_seeds: int = BLOCK_SEEDS) -> tuple[DataFrame, DataFrame]:
+    """(pack_id, doc_id, mark, words, score, tie): the best ``keep`` documents of each seed that fit its room, of the whole corpus; and (pack_id, df) where frequencies had to be counted."""
     spark = keyed.sparkSession
     tasks = max(2, 2 * spark.sparkContext.defaultParallelism)
-    lists = []
+    lists, known = [], []
     for block in blocks_of(seeds, block_seeds):
+        if block.df is None:
+            block.df = frequencies(keyed, block.terms, tasks)
+            known.append(_known(spark, block))
         shards = search(keyed, block, number, mean, keep, every, tasks)
         packed = shards.groupBy("pack_id").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("score", "tie", "doc_id", "mark", "words")))), 1, keep).alias("best"))  # keep a task
         lists.append(cut(packed.select("pack_id", F.inline("best")).select("pack_id", "doc_id", "mark", "words", "score", "tie")))
-    out = lists[0] if lists else spark.createDataFrame([], PAIRS)
-    for more in lists[1:]:
+    return _all(lists, spark, PAIRS), _all(known, spark, KNOWN)
+
+
+def _all(parts: list[DataFrame], spark: SparkSession, kinds: str) -> DataFrame:
+    out = parts[0] if parts else spark.createDataFrame([], kinds)
+    for more in parts[1:]:
         out = out.unionByName(more)
     return out
 
 
+def _known(spark: SparkSession, block: Block) -> DataFrame:
+    """(pack_id, df): the frequencies of each seed's terms, in their order, for later lists."""
+    terms = np.repeat(np.arange(len(block.df)), np.diff(block.first))
+    order = np.argsort(block.seed, kind="stable")
+    df, bounds = block.df[terms[order]], np.searchsorted(block.seed[order], np.arange(len(block.pack) + 1))
+    blobs = [zstandard.compress(df[a:b].astype(np.int64).tobytes(), 1) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return cut(spark.createDataFrame(pa.table([ta.ints(block.pack), pa.array(blobs, pa.binary())], ["pack_id", "df"])))
+
+
 def assign(pairs: DataFrame, rooms: DataFrame, turn: int) -> tuple[DataFrame, DataFrame, int]:
     """(pack_id, doc_id, mark, words, turn, place) of what seeds take, the room (pack_id, room) that is left, and the next turn."""
     spark = pairs.sparkSession
@@ -394,9 +444,10 @@ def windows(docs: DataFrame, window: int = WINDOW, every: int = EVERY, keep: int
     number, mean = total.n, total.words / total.n
     seeds = seeds_of(keyed, window, every)
     rooms = cut(seeds.filter("room is not null").select("pack_id", "room"))
-    asking, turn, taken = seeds.filter("room > 0"), 1, None
+    asking, turn, taken, known = seeds.filter("room > 0").withColumn("df", F.lit(None).cast("binary")), 1, None, None
     while asking.head(1):
-        lists = neighbours(keyed, asking, number, mean, keep, every, block_seeds)
+        lists, counts = neighbours(keyed, asking, number, mean, keep, every, block_seeds)
+        known = counts if known is None else known
         free = lists if taken is None else lists.join(taken.select("doc_id", "mark"), ["doc_id", "mark"], "left_anti")
         got, rooms, turn = assign(cut(free), rooms, turn)
         taken = cut(got if taken is None else taken.unionByName(got))
@@ -404,7 +455,7 @@ def windows(docs: DataFrame, window: int = WINDOW, every: int = EVERY, keep: int
         lost = lists.join(taken.select("doc_id", "mark", F.col("pack_id").alias("winner")), ["doc_id", "mark"], "left")
         counted = lost.groupBy("pack_id").agg(F.count("*").alias("listed"), F.sum((F.col("winner").isNull() | (F.col("winner") == F.col("pack_id"))).cast("int")).alias("free"))
         short = counted.filter((F.col("listed") >= keep) & (F.col("free") < least)).join(rooms.filter("room > 0"), "pack_id").select("pack_id", "room")
-        asking = cut(seeds.filter("room > 0").drop("room").join(short, "pack_id"))
+        asking = cut(seeds.filter("room > 0").drop("room").join(short, "pack_id").join(known, "pack_id"))
         keep *= 4
     own = seeds.select("pack_id", F.lit(0).cast("bigint").alias("place"), "doc_id", "first_word", "words")
     if taken is None:

@@ -25,7 +25,7 @@ def lists(spark, rows, window, every, keep, block_seeds=p.BLOCK_SEEDS):
     seeds = p.seeds_of(keyed, window, every)
     name = {r.pack_id: r.doc_id for r in seeds.collect()}
     out = {}
-    for r in p.neighbours(keyed, seeds.filter("room > 0"), len(rows), sum(sizes) / len(rows), keep, every, block_seeds).collect():
+    for r in p.neighbours(keyed, seeds.filter("room > 0").selectExpr("*", "cast(null as binary) as df"), len(rows), sum(sizes) / len(rows), keep, every, block_seeds)[0].collect():
         out.setdefault(name[r.pack_id], []).append((r.score, r.tie, r.doc_id, r.words))
     return {s: sorted(x, reverse=True) for s, x in out.items()}
 
