@@ -4,16 +4,20 @@ Counts of all n-grams of one to three words over the whole corpus are quantised
 to powers of two: an n-gram of count c has the levels 1 to 1 + floor(log2 c),
 and each of them is put into one Bloom filter.  Reading a count means probing
 for level 1, 2, ... until a probe fails; errors can only raise a level, by one
-with the filter's error rate (about 1 in 30), by two with its square.
+with the filter's error rate (about 1 in 25), by two with its square.
 Probabilities interpolate the orders: P(w|uv) = l c(uvw)/c(uv) + (1-l) P(w|v),
-down to (c(w) + 1) / (N + V + 1).  The query keeps all n-grams; ``scores`` by
-itself leaves out those of two and three words that occur less than
-``min_count`` times.
+down to (c(w) + 1) / (N + V + 1).  ``discount`` is taken off every count before
+that, down to 0.  The query keeps all n-grams and discounts 1: a word is
+predicted from all *other* occurrences of its n-grams, so that what stands only
+once tells nothing about itself and the lower orders decide.  ``scores`` by
+itself discounts nothing and leaves out n-grams of two and three words that
+occur less than ``min_count`` times.
 
 The filter is made in shards, by n-gram, and grows with the corpus.  Up to
 ``max_broadcast`` bytes it is broadcast; beyond that n-grams travel to the
 shards and their levels back, with the same result.  N-grams are named by
-hashes with 12 bits more than it takes to number them.
+hashes with 8 bits more than it takes to number the bytes of the texts, which
+are several times as many.
 
 A *word* is what stands between white space; n-grams don't cross documents.
 Results by case: rows with a null id, text or without words have no score;
@@ -37,9 +41,9 @@ from . import textarrays as ta
 ORDERS = 3
 MIN_COUNT = 2
 WEIGHT = 0.7  # of an order against those below it
-BITS_EACH = 10  # of filter for a level of an n-gram
+BITS_EACH = 8  # of filter for a level of an n-gram
 MAX_BROADCAST = 256 << 20
-COUNT_BYTES = 2 << 20
+COUNT_BYTES = 4 << 20
 SHARD_BYTES = 8 << 20
 MAX_LEVEL = 48
 U64 = np.uint64
@@ -118,13 +122,13 @@ def expected(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, (2.0 ** (levels - 1) + 2.0**levels - 1) / 2, 0.0)
 
 
-def score_rows(words: ta.Words, bits: int, total: int, kinds: int, levels: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+def score_rows(words: ta.Words, bits: int, total: int, kinds: int, discount: float, levels: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """The sum of the binary logarithms of the words' probabilities, by row; ``levels`` reads those of distinct n-grams."""
     counts = []
     for names, ends in ngrams(words, bits):
         distinct, place = np.unique(names, return_inverse=True)
         got = np.zeros(len(words))
-        got[ends] = expected(levels(distinct))[place]
+        got[ends] = np.maximum(expected(levels(distinct)) - discount, 0.0)[place]
         counts.append(got)
     prob = (counts[0] + 1) / (total + kinds + 1)
     for n in range(1, ORDERS):
@@ -183,17 +187,17 @@ def count(keyed: DataFrame, bits: int, shards: int, min_count: int) -> DataFrame
     return keyed.mapInArrow(scan, f"shard bigint, {columns}").groupBy("shard").applyInArrow(add_up, "shard bigint, segment binary, cells bigint, total bigint, kinds bigint")
 
 
-def scores(docs: DataFrame, min_count: int = MIN_COUNT, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
+def scores(docs: DataFrame, min_count: int = MIN_COUNT, max_broadcast: int = MAX_BROADCAST, discount: float = 0.0) -> DataFrame:
     """(doc_id, words, log2_prob, perplexity) of every document, under a model of all of them."""
     keyed = ta.keyed(docs)
     text = ta.text_bytes(docs)
     shards = ta.buckets_for(text, SHARD_BYTES)
-    bits = min(64, max(32, text.bit_length() + 12))  # there are fewer n-grams than bytes
+    bits = min(64, max(32, text.bit_length() + 8))  # there are fewer n-grams than bytes
     segments = cut(count(keyed, bits, shards, min_count))
     made = segments.agg(F.sum("cells").alias("cells"), F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
     total, kinds = made.total or 0, made.kinds or 0
     if 8 * (made.cells or 0) > max_broadcast:
-        return _scores_by_shuffle(keyed, segments, bits, shards, total, kinds)
+        return _scores_by_shuffle(keyed, segments, bits, shards, total, kinds, discount)
     base, size, whole, at = np.zeros(shards, np.int64), np.zeros(shards, np.int64), np.zeros(made.cells or 0, U64), 0
     for row in segments.select("shard", "segment").toLocalIterator():
         cells = np.frombuffer(row.segment, U64)
@@ -212,13 +216,13 @@ def scores(docs: DataFrame, min_count: int = MIN_COUNT, max_broadcast: int = MAX
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for lo, words in ta.words_of(batch.column(2)):
-                logs = score_rows(words, bits, total, kinds, levels)
+                logs = score_rows(words, bits, total, kinds, discount, levels)
                 yield pa.RecordBatch.from_arrays(_rows(ids[lo : lo + len(words.counts)], words, logs), ["doc_id", "words", "log2_prob", "perplexity"])
 
     return keyed.mapInArrow(scan, SCORES)
 
 
-def _scores_by_shuffle(keyed: DataFrame, segments: DataFrame, bits: int, shards: int, total: int, kinds: int) -> DataFrame:
+def _scores_by_shuffle(keyed: DataFrame, segments: DataFrame, bits: int, shards: int, total: int, kinds: int, discount: float) -> DataFrame:
     """The same without a broadcast: blocks of text send their n-grams to the shards of the filter and get levels."""
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +260,7 @@ def _scores_by_shuffle(keyed: DataFrame, segments: DataFrame, bits: int, shards:
         names, found = np.concatenate([np.zeros(0, U64), *(a for a, _ in parts)]), np.concatenate([np.zeros(0, np.int64), *(b for _, b in parts)])
         order = np.argsort(names)
         names, found = names[order], found[order]
-        logs = score_rows(words, bits, total, kinds, lambda distinct: found[np.searchsorted(names, distinct)])
+        logs = score_rows(words, bits, total, kinds, discount, lambda distinct: found[np.searchsorted(names, distinct)])
         return pa.table(_rows(ids, words, logs), ["doc_id", "words", "log2_prob", "perplexity"])
 
     texts = cut(keyed.mapInArrow(block, "text binary").select(F.monotonically_increasing_id().alias("block"), "text"))
@@ -266,4 +270,4 @@ def _scores_by_shuffle(keyed: DataFrame, segments: DataFrame, bits: int, shards:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores(ta.documents(spark, sf_dir), min_count=1)
+    return scores(ta.documents(spark, sf_dir), min_count=1, discount=1.0)

@@ -84,11 +84,82 @@ def test_cases(spark):
 
 
 def test_ngrams_that_occur_once_count(spark, tmp_path):
-    """The query against a brute force without a cut-off, on texts whose n-grams are mostly single."""
+    """Counts without a cut-off against brute force, on texts whose n-grams are mostly single."""
     r = random.Random(8)
     rows = [(i, " ".join(f"w{r.randrange(300)}" for _ in range(60))) for i in range(60)]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     want = brute(rows, min_count=1)
-    got = {r.doc_id: r for r in m.query(spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r for r in m.scores(spark.read.parquet(f"{tmp_path}/documents.parquet"), min_count=1).collect()}
     off = np.array([abs(got[i].log2_prob - want[i]) / got[i].words for i in want])
     assert np.mean(off) < 0.1
+
+
+def leave_one_out(rows):
+    """As the query scores, with dictionaries: one is taken off every quantised count."""
+    counts = [Counter() for _ in range(3)]
+    for _, t in rows:
+        w = t.split()
+        for n in (1, 2, 3):
+            counts[n - 1].update(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    total, kinds = sum(counts[0].values()), len(counts[0])
+
+    def c(g):
+        n = counts[len(g) - 1][g]
+        if not n:
+            return 0.0
+        level = int(math.log2(n)) + 1
+        return max(0.0, (2 ** (level - 1) + 2**level - 1) / 2 - 1)
+
+    out = {}
+    for i, t in rows:
+        w, s = t.split(), 0.0
+        for k in range(len(w)):
+            p = (c((w[k],)) + 1) / (total + kinds + 1)
+            for n in (1, 2):
+                if k >= n and (h := c(tuple(w[k - n : k]))) > 0:
+                    p = m.WEIGHT * min(c(tuple(w[k - n : k + 1])), h) / h + (1 - m.WEIGHT) * p
+            s += math.log2(p)
+        out[i] = s
+    return out
+
+
+def mixed():
+    r = random.Random(8)
+    rows = [(i, " ".join(f"w{r.randrange(200)}" for _ in range(r.choice([1, 2, 60])))) for i in range(80)]
+    return rows + [(100 + i, rows[i][1]) for i in range(10)]
+
+
+def test_scoring_equals_brute_force_where_no_probe_errs():
+    """With the exact level of every n-gram in place of the filter, each document has the score of the dictionaries."""
+    import pyarrow as pa
+    from lodewerk.llm import textarrays as ta
+
+    rows = mixed()
+    ((_, words),) = ta.words_of(pa.array([t for _, t in rows]))
+    names = np.concatenate([x for x, _ in m.ngrams(words, 60)])
+    known, times = np.unique(names, return_counts=True)
+    total, kinds = len(words), len(np.unique(words.hashes()))
+    got = m.score_rows(words, 60, total, kinds, 1.0, lambda x: m.level_of(times[np.searchsorted(known, x)]))
+    want = leave_one_out(rows)
+    assert got.tolist() == pytest.approx([want[i] for i, _ in rows], rel=1e-9)
+
+
+@pytest.mark.parametrize("max_broadcast", [m.MAX_BROADCAST, 0])
+def test_the_query_is_close_to_brute_force(spark, max_broadcast):
+    """The filter errs for about one n-gram in 25; most documents have the exact score."""
+    rows, want = mixed(), leave_one_out(mixed())
+    got = {r.doc_id: r for r in m.scores(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), min_count=1, discount=1.0, max_broadcast=max_broadcast).collect()}
+    off = np.array([abs(got[i].log2_prob - want[i]) / got[i].words for i in want])
+    assert set(got) == set(want) and np.mean(off) < 0.2 and np.mean(off < 1e-6) > 0.6
+
+
+def test_texts_that_stand_twice_score_apart(spark, tmp_path):
+    """Every text is new but those that stand there twice; the model tells them apart though all n-grams count."""
+    r = random.Random(3)
+    rows = [(i, " ".join(f"w{int(r.expovariate(0.02))}" for _ in range(r.choice([30, 80, 200])))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.log2_prob / r.words for r in m.query(spark, str(tmp_path)).collect()}
+    twice = [got[i] for i in got if i < 30 or i >= 1000]
+    once = [got[i] for i in got if 30 <= i < 1000]
+    assert np.mean([a > b for a in twice for b in once]) > 0.99
