@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
+from . import ids
 
 
 def module_stats(incidents: DataFrame) -> DataFrame:
@@ -44,10 +45,9 @@ def inverted(rows: DataFrame, key: Column, item: Column) -> DataFrame:
 
 
 def assign_ids(rows: DataFrame, prefix: str = "lw") -> DataFrame:
-    """Sequential ids for each module and year, in order of id."""
-    year = F.year("start_ts")
-    order = Window.partitionBy("module", year).orderBy("id")
-    return rows.select("id", F.concat_ws("-", F.lit(prefix), "module", year.cast("string"), F.lpad(F.row_number().over(order).cast("string"), 6, "0")).alias("public_id"))
+    """Sequential ids for each module and year, in order of id, of six digits or more."""
+    numbered = ids.assign(rows.select("module", F.year("start_ts").alias("year"), F.col("id").alias("source_id")), None, prefix, 6)
+    return numbered.select(F.col("source_id").alias("id"), "public_id")
 
 
 def previous_values(rows: DataFrame, key: str, order: list[str], value: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
+from . import actors
 
 
 def combined_feed(incidents: DataFrame) -> DataFrame:
@@ -24,11 +25,16 @@ def cross_module_sources(incidents: DataFrame) -> DataFrame:
 
 
 def shared_infrastructure(incidents: DataFrame, days: int = 7) -> DataFrame:
-    """Pairs (src_id < dst_id) that share an indicator within so many days; within one module too."""
-    a = incidents.filter("ioc is not null").select("ioc", F.col("id").alias("src_id"), F.col("module").alias("src_module"), F.col("start_ts").alias("src_ts"))
-    b = a.select("ioc", F.col("src_id").alias("dst_id"), F.col("src_module").alias("dst_module"), F.col("src_ts").alias("dst_ts"))
-    micros = F.unix_micros(F.col("src_ts").cast("timestamp")) - F.unix_micros(F.col("dst_ts").cast("timestamp"))
-    return a.join(b, "ioc").filter((F.col("src_id") < F.col("dst_id")) & (F.abs(micros) <= days * 86_400_000_000)).select("src_id", "src_module", "dst_id", "dst_module").distinct()
+    """Pairs (src_id < dst_id) that share an indicator within so many days; within one module too.
+
+    Rows meet by indicator and stretch of so many days, the one after it and the
+    one before, so an indicator that is seen for years pairs neighbours only.
+    """
+    rows = incidents.filter("ioc is not null and start_ts is not null").select("ioc", "id", "module", F.unix_micros(F.col("start_ts").cast("timestamp")).alias("at"))
+    span = days * 86_400_000_000
+    a = rows.select("ioc", F.floor(F.col("at") / span).alias("bin"), F.col("id").alias("src_id"), F.col("module").alias("src_module"), F.col("at").alias("src_at"))
+    b = rows.select("ioc", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.floor(F.col("at") / span) + k)).alias("bin"), F.col("id").alias("dst_id"), F.col("module").alias("dst_module"), F.col("at").alias("dst_at"))
+    return a.join(b, ["ioc", "bin"]).filter((F.col("src_id") < F.col("dst_id")) & (F.abs(F.col("src_at") - F.col("dst_at")) <= span)).select("src_id", "src_module", "dst_id", "dst_module").distinct()
 
 
 def shared_actor(incidents: DataFrame) -> DataFrame:
@@ -59,10 +65,5 @@ def popularity(incidents: DataFrame, packages: DataFrame) -> DataFrame:
 
 
 def alias_matches(texts: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(id, slug): aliases of six letters or more as substrings, shorter ones as words, in lower case.
-
-    The aliases are a dimension of fixed size; texts are scanned once.
-    """
-    text = F.lower("text")
-    hit = F.when(F.length("alias") >= 6, text.contains(F.col("alias"))).otherwise(F.expr("regexp_like(lower(text), concat('(?:^|[^a-z0-9_])', alias, '(?:$|[^a-z0-9_])'))"))
-    return texts.join(F.broadcast(aliases), hit).select("id", "slug").distinct()
+    """(id, slug): aliases (in lower case) of six letters or more anywhere, shorter ones as words; each text is read once."""
+    return actors.text_matches(texts, aliases).distinct()

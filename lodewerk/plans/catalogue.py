@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import exprs as E
-from ..operators import index, links, resolve, rules, stix, typosquat
+from ..operators import entities, index, links, resolve, rules, stix, typosquat
 from ..streaming import upsert
 from .views import INC, NOW, PKG, incidents, now, packages, table
 
@@ -41,9 +41,9 @@ _FEED = """SELECT ioc_type, ioc, count(DISTINCT module) AS modules, count(DISTIN
   FROM inc WHERE ioc IS NOT NULL GROUP BY 1, 2"""
 
 
-@query(f"WITH {INC} {_FEED} ORDER BY ioc_type, ioc")
+@query(f"WITH {INC} {_FEED}")
 def combined_feed(spark, d):
-    return links.combined_feed(incidents(spark, d)).orderBy("ioc_type", "ioc")
+    return links.combined_feed(incidents(spark, d))
 
 
 @query(f"WITH {INC} SELECT * FROM ({_FEED}) WHERE cross_domain")
@@ -113,7 +113,13 @@ def merge_edges_7d(spark, d):
 @query(f"WITH RECURSIVE {INC}, {_REACH} SELECT id, least(id, coalesce(min(b), id)) AS component FROM inc LEFT JOIN walk ON id = a GROUP BY id")
 def merge_components(spark, d):
     rows = incidents(spark, d)
-    return resolve.components(rows, resolve.event_edges(rows))
+    return resolve.components(rows, _chains(rows))
+
+
+def _chains(rows: DataFrame) -> DataFrame:
+    """Edges with the components of ``merge_edges_7d``, fewer than rows."""
+    packages = rows.select("id", F.lit("").alias("ecosystem"), F.lit("").alias("name")).limit(0)
+    return entities.event_edges(rows.withColumn("campaign", F.lit("")), packages, rows.select("id", F.col("ioc_type").alias("type"), F.col("ioc").alias("value")))
 
 
 @query(f"""WITH RECURSIVE {INC}, {_REACH}, named AS (SELECT id, least(id, coalesce(min(b), id)) AS component FROM inc LEFT JOIN walk ON id = a GROUP BY id),
@@ -123,7 +129,7 @@ t AS (SELECT component, description FROM (SELECT *, row_number() OVER (PARTITION
 SELECT component, members, module, CASE rank WHEN 4 THEN 'critical' WHEN 3 THEN 'high' WHEN 2 THEN 'medium' ELSE 'low' END AS severity, description, sources, round(least(best + least(0.08 * (n - 1), 0.2), 0.98), 6) AS confidence, first_seen FROM g JOIN t USING (component)""")
 def merge_survivors(spark, d):
     rows = incidents(spark, d).withColumn("description", F.concat_ws(" ", "package", "campaign"))
-    return resolve.survivors(rows, resolve.components(rows, resolve.event_edges(rows)))
+    return resolve.survivors(rows, resolve.components(rows, _chains(rows)))
 
 
 @query("""WITH RECURSIVE k AS (SELECT DISTINCT l_suppkey AS s, l_partkey % 500 AS p FROM lineitem WHERE l_quantity >= 49), e AS (SELECT DISTINCT a.s AS a, b.s AS b FROM k a JOIN k b ON a.p = b.p),
@@ -297,7 +303,7 @@ def by_cve_index(spark, d):
     return index.inverted(incidents(spark, d), F.upper("cve"), F.col("id"))
 
 
-@query(f"WITH {INC} SELECT id, 'lw-' || module || '-' || year(start_ts) || '-' || lpad(CAST(row_number() OVER (PARTITION BY module, year(start_ts) ORDER BY id) AS VARCHAR), 6, '0') AS public_id FROM inc")
+@query(f"WITH {INC} SELECT id, 'lw-' || module || '-' || year(start_ts) || '-' || format('{{:06d}}', row_number() OVER (PARTITION BY module, year(start_ts) ORDER BY id)) AS public_id FROM inc")
 def assign_ids(spark, d):
     return index.assign_ids(incidents(spark, d))
 
@@ -445,3 +451,7 @@ def keyed_upsert(spark, d):
     rows = incidents(spark, d).select("package", "id", "start_ts").withColumn("o", F.struct("start_ts", "id"))
     half = F.col("id") % 2 == 0
     return upsert.merge(upsert.merge(rows.filter(half).limit(0), rows.filter(half), "package", "o"), rows.filter(~half), "package", "o").drop("o")
+
+
+from . import records  # noqa: E402, F401  (registers its queries)
+from . import more  # noqa: E402, F401

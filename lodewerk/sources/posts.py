@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
+from ..functions import words as W
 from ..operators.index import keep_first
 
 TYPES = {
@@ -90,17 +91,5 @@ def package_mentions(posts: DataFrame) -> DataFrame:
 
 
 def http_indicators(code: DataFrame) -> DataFrame:
-    """(id, type, value, confidence) from exploit code: paths, user agents, parameters; the first of a (type, value) counts."""
-    found = {
-        "path": (r"""(?i)(?:get|post|put)\s+(/[A-Za-z0-9_./?=&%-]{3,})""", 0.8),
-        "user_agent": (r"""(?i)user-agent['"]?\s*[:=]\s*['"]?([^'"\n\r]{4,120})""", 0.6),
-        "url_path": (r"""https?://[^/\s'"]+(/[A-Za-z0-9_./?=&%-]{3,})""", 0.8),
-        "parameter": (r"""[?&]([A-Za-z_][A-Za-z0-9_]{2,})=""", 0.5),
-    }
-
-    def of(kind: str, pattern: str, confidence: float) -> Column:
-        return F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("type"), F.trim(v).alias("value"), F.lit(confidence).alias("confidence")))
-
-    every = F.concat(*[of(k, p, c) for k, (p, c) in found.items()])
-    rows = code.select("id", F.posexplode(every).alias("pos", "x")).select("id", "pos", "x.*").filter(~F.col("value").rlike("^/(?:bin|dev|etc|home|proc|tmp|usr|var)/"))
-    return keep_first(rows, ["id", "type", "value"], ["pos"]).drop("pos")
+    """(id, type, value, confidence) from exploit code (id, text): paths, user agents, bodies and parameters; the first of a (type, value) counts."""
+    return code.select("id", F.explode(W.code_indicators(F.col("text"))).alias("x")).select("id", "x.*")
