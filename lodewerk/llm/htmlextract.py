@@ -37,17 +37,29 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|hea
 _BLOCKS = {"p", "div", "br", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "section", "blockquote", "pre", "ul", "ol", "table"}
 
 
+def _open_ended(m: re.Match) -> bool:
+    """Whether what is dropped as a whole goes on behind the match for want of its end."""
+    if m[0].startswith("<!--"):
+        return not m[0][4:].endswith("-->")
+    return bool(m[1]) and not re.search(rf"</{m[1]}\s*>\Z", m[0], re.I)
+
+
 def tokens(page: str) -> list[tuple[str, int, int, int]]:
     """(tag name or "", words, begin, end): tags, and the texts between them; what is dropped is left out."""
-    out, at = [], 0
-    for m in _TOKEN.finditer(page):
+    # what stands behind the last ">" has no tag, so no search for the end of one runs to the page's end in vain
+    out, at, last = [], 0, page.rfind(">") + 1
+    for m in _TOKEN.finditer(page, 0, last):
         if m.start() > at:
             out.append(("", len(page[at : m.start()].split()), at, m.start()))
         if m[2]:
             out.append((m[2].lower(), 0, m.start(), m.end()))
         at = m.end()
-    if at < len(page):
-        out.append(("", len(page[at:].split()), at, len(page)))
+        if at == last and _open_ended(m):
+            return out  # never closed: dropped with all that follows
+    end = page.find("<!--", max(at, last))
+    end = len(page) if end < 0 else end
+    if at < end:
+        out.append(("", len(page[at:end].split()), at, end))
     return out
 
 

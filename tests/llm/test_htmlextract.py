@@ -41,3 +41,26 @@ def test_cases(spark):
     assert got == [(0, 3, "some words here"), (1, 0, ""), (2, 0, ""), (3, 0, ""), (4, 2, "<b> x"), (4, 300_000, "long long long long "), (5, 0, ""), (6, 2, "no end")]
     empty = pages.limit(0)
     assert h.extract(empty, h.train(empty)).count() == 0
+
+
+def test_pages_with_open_ends():
+    """What is never closed is dropped to the end, whether or not tags follow; what looks like a tag without an end is text."""
+    text = lambda page: [page[a:b] for tag, _, a, b in h.tokens(page) if not tag]
+    assert text("a <b>b</b> <!-- c <i>d</i> e") == ["a ", "b", " "]
+    assert text("a <title>b</b> c") == ["a "] and text("a <title>b</title> c") == ["a ", " c"]
+    assert text("a <b>b</b> c <i d") == ["a ", "b", " c <i d"]
+    assert text("a <b>b</b> c <!-- d") == ["a ", "b", " c "]
+    assert text("<!--> x --> y <p>z") == [" y ", "z"]
+
+
+def test_time_grows_with_the_page():
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        h.tokens("<a " * n)
+        h.tokens("<a " * n + ">" + "<script x" * n + "<!-- " * n)
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(400_000) < 3
