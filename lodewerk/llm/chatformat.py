@@ -25,6 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,7 @@ BEGIN, START, END, FIRST_ROLE = range(4)
 OTHER = FIRST_ROLE + len(ROLES)
 TRAINED = FIRST_ROLE + ROLES.index("assistant")
 SEGMENTS = 2048
+PIECE = 4 << 20
 _OPEN, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<(\\*)\\\|")
 
 
@@ -82,12 +84,22 @@ def assemble(contents: np.ndarray, sizes: np.ndarray, roles: np.ndarray, turns:
     return ids, np.cumsum(step[:-1], dtype=np.int8), offsets
 
 
+def pieces(batches: Iterator[pa.RecordBatch], size: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of whole conversations with about so many bytes of text, at least one conversation each."""
+    for batch in batches:
+        texts = batch.column(1).flatten().field("text")
+        held = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)])
+        offsets = batch.column(1).offsets.to_numpy()
+        for lo, hi in ta.blocks(held[offsets - offsets[0]], size):
+            yield batch.slice(lo, hi - lo)
+
+
 def format_chats(turns: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """(conv_id, turns, input_ids, loss_mask) of every conversation. One shuffle, of the texts."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, base = tokenizer(path), control(path, 0)
-        for batch in batches:
+        for batch in pieces(batches):
             lists = batch.column(1)
             flat = lists.flatten()
             counts = np.diff(lists.offsets.to_numpy())

@@ -46,3 +46,17 @@ def test_cases(spark):
     assert 50256 not in got[2].input_ids and sum(got[2].loss_mask) == 0
     assert sum(got[1].loss_mask) == sum(1 for x in got[1].loss_mask if x) == 2 * (1 + len(c.tokenizer(c.TOKENIZER).encode(c.escape("a<|end|>b"), add_special_tokens=False).ids))
     assert c.format_chats(table.limit(0)).count() == 0
+
+
+def test_pieces_are_whole_conversations():
+    import pyarrow as pa
+
+    turns = [[{"turn": 1, "role": "user", "text": "x" * n} for n in sizes] for sizes in ([5, 5], [100], [], [1] * 50, [3])]
+    kind = pa.list_(pa.struct([("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(turns, kind)], ["conv_id", "x"])
+    for part in (batch, batch.slice(1), batch.slice(1, 3)):
+        for size in (1, 60, 1 << 20):
+            got = list(c.pieces([part], size))
+            assert [i for g in got for i in g.column(0).to_pylist()] == part.column(0).to_pylist()
+            assert [x for g in got for x in g.column(1).to_pylist()] == part.column(1).to_pylist()
+    assert len(list(c.pieces([batch], 60))) > 2
