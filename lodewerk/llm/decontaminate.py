@@ -29,6 +29,7 @@ from . import textarrays as ta
 MIN_WORDS = 8
 SHARD_BYTES = 4 << 20
 MAX_BROADCAST = 64 << 20
+GROWTH = 6  # bytes of arrays for each byte of an item
 MATCHES = "doc_id bigint, item_id bigint, match_words bigint, doc_word bigint, item_word bigint"
 
 
@@ -96,14 +97,18 @@ class Benchmark:
         data, offsets = ta.flat(blob)
         words = ta.Words(data, offsets)
         self.tokens = token(words.hashes())
-        self.words = [bytes(data[s:e]) for s, e in zip(words.start, words.end, strict=True)]
-        self.item, self.first = words.row, words.first
-        self.stop = words.first[1:][words.row] if len(words) else np.zeros(0, np.int64)
+        self.data, self.begin, self.end = data.copy(), words.start.astype(np.int32), words.end.astype(np.int32)
+        self.item, self.first = words.row.astype(np.int32), words.first
+        self.stop = words.first[1:][words.row].astype(np.int32) if len(words) else np.zeros(0, np.int32)
         self.starts = np.flatnonzero(self.stop - np.arange(len(words)) >= min_words)
         self.longest = int(words.counts.max(initial=0))
         self.min_words = min_words
 
 
+    def word(self, i: int) -> bytes:
+        return bytes(self.data[self.begin[i] : self.end[i]])
+
+
 def token(hashes: np.ndarray) -> np.ndarray:
     """32-bit tokens above 0; 0 stands for the end of a document."""
     return np.maximum(hashes >> np.uint64(32), np.uint64(1)).astype(np.uint32)
@@ -146,7 +151,7 @@ def search(words: ta.Words, bench: Benchmark) -> list[tuple[int, int, int, int,
     for t, w, n in zip(test.tolist(), back[train].tolist(), length.tolist(), strict=True):
         row, item = int(words.row[w]), int(bench.item[t])
         found = 0  # the tokens are hashes: count the words that are really equal
-        while found < n and bench.words[t + found] == bytes(words.data[words.start[w + found] : words.end[w + found]]):
+        while found < n and bench.word(t + found) == bytes(words.data[words.start[w + found] : words.end[w + found]]):
             found += 1
         if found >= bench.min_words:
             entry = (-found, w - int(words.first[row]), t - int(bench.first[item]))
@@ -154,17 +159,18 @@ def search(words: ta.Words, bench: Benchmark) -> list[tuple[int, int, int, int,
     return [(row, item, -n, at, of) for (row, item), (n, at, of) in sorted(best.items())]
 
 
-def _groups(bench: DataFrame, most: int) -> list[list[tuple[int, str]]]:
-    """The items in groups of at most ``most`` bytes; only one group is on the driver at a time unless all fit one."""
+def _groups(bench: DataFrame, most: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in groups that take at most ``most`` bytes as arrays, about ``GROWTH`` times their text; one of them is on the driver at a time."""
     items = bench.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("bigint"), "text")
-    groups, held = [[]], 0
+    group, held = [], 0
     for row in items.toLocalIterator():
-        if held and held + len(row.text) > most:
-            groups.append([])
-            held = 0
-        groups[-1].append((row.item_id, row.text))
-        held += len(row.text)
-    return groups
+        size = GROWTH * len(row.text.encode())
+        if held and held + size > most:
+            yield group
+            group, held = [], 0
+        group.append((row.item_id, row.text))
+        held += size
+    yield group
 
 
 def find(docs: DataFrame, bench: DataFrame, min_words: int = MIN_WORDS, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
