@@ -295,8 +295,9 @@ def find(docs: DataFrame, min_words: int = MIN_WORDS, max_filter: int = MAX_FILT
 
 def remove(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without the words that repeat an earlier passage."""
-    spans = find(docs, min_words).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("first_word", "end_word"))).alias("_cut")).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "_cut")
-    joined = docs.join(spans, (F.col("doc_id").cast("bigint") == F.col("_id")) & (F.xxhash64("text") == F.col("_mark")), "left").drop("_id", "_mark")
+    id_, mark, gone = ta.fresh(docs.columns, "_id", "_mark", "_cut")
+    spans = find(docs, min_words).groupBy("doc_id", "mark").agg(F.array_sort(F.collect_list(F.struct("first_word", "end_word"))).alias(gone)).select(F.col("doc_id").alias(id_), F.col("mark").alias(mark), gone)
+    joined = docs.join(spans, (F.col("doc_id").cast("bigint") == F.col(id_)) & (F.xxhash64("text") == F.col(mark)), "left").drop(id_, mark)
     place, names = docs.columns.index("text"), docs.columns
     count = names.index("n_chars") if "n_chars" in names else None
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}

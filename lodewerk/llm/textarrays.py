@@ -163,6 +163,18 @@ def split_by(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(bucket[order], np.arange(n + 1))
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Each name with so many underscores before it that no column has it, in whatever case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_bytes(docs: DataFrame) -> int:
     """The bytes of all texts: one scan of one column."""
     return docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first().n or 0

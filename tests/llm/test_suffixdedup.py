@@ -75,3 +75,11 @@ def test_cases(spark):
     assert out[1].text == p and out[2].text == "head tail\n" and out[2].n_chars == 10 and out[4].text is None and out[None].text == p
     assert len(out[7].text) == len(rows[7][1])
     assert s.remove(docs.limit(0)).count() == 0 == s.find(docs.limit(0)).count()
+
+
+def test_columns_with_the_names_used_inside(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"a {passage}", 5, 6, 7, "x"), (2, f"{passage} b", 5, 6, 7, None), (None, passage, 1, 1, 1, "y")], "doc_id bigint, text string, _id int, _mark int, _cut int, _EXTRA string")
+    got = s.remove(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, len(r.text.split()), r._id, r._EXTRA or "") for r in got.collect()) == [(0, 60, 1, "y"), (1, 61, 5, "x"), (2, 1, 5, "")]
