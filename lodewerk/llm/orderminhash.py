@@ -15,7 +15,7 @@ its bucket, then all members of a bucket that are still apart with one another.
 
 Short documents (to ``SHORT`` words) are also sketched with 2-mers, long ones
 (from ``SHORT`` / 2) with 3-mers; lengths of a near pair differ so little that
-they have one kind in common.
+they have one kind in common; so a threshold below 0.5 is refused.
 
 Results by case: rows with a null id are in no group and stay; null texts are
 in no group; equal texts, empty ones too, are one group; texts without words
@@ -38,7 +38,7 @@ from ..operators.components import connected_components, cut
 from . import textarrays as ta
 
 THRESHOLD = 0.8
-SKETCHES = 24
+SKETCHES = 40
 PICK = 2
 SHORT = 40
 MAX_BROADCAST = 32 << 20
@@ -331,6 +331,8 @@ def crossings(members: DataFrame, tokens: DataFrame, threshold: float) -> DataFr
 
 def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, group_id) of all documents that have near copies; the group's id is its least document id."""
+    if threshold < 0.5:
+        raise ValueError("lengths of a near pair may differ twofold at most, else they have no kind of k-mers in common")
     signed = cut(signatures(docs))
     tokens = signed.select("doc_id", "mark", "tokens")
     # a repeated id counts once; of equal texts one is sketched on
@@ -363,8 +365,9 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without those that have a near copy of lesser id; columns as they were."""
-    extra = groups(docs, threshold).filter("doc_id <> group_id").select(F.col("doc_id").alias("_extra"))
-    return docs.join(extra, F.col("doc_id").cast("bigint") == F.col("_extra"), "left_anti")
+    (name,) = ta.fresh(docs.columns, "_extra")
+    extra = groups(docs, threshold).filter("doc_id <> group_id").select(F.col("doc_id").alias(name))
+    return docs.join(extra, F.col("doc_id").cast("bigint") == F.col(name), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

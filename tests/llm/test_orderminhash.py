@@ -73,3 +73,26 @@ def test_cases(spark):
     assert sorted(map(tuple, o.groups(docs).collect())) == [(1, 1), (2, 1), (5, 5), (6, 5), (7, 7), (8, 7)]
     assert sorted((r.doc_id or 0) for r in o.one_of_each(docs).collect()) == [0, 1, 1, 3, 4, 5, 7, 9, 10]
     assert o.groups(docs.limit(0)).count() == 0
+
+
+def test_columns_with_the_names_used_inside(spark):
+    docs = spark.createDataFrame([(1, "a b c", 1, 2), (2, "a b c", 1, 2)], "doc_id bigint, text string, _extra int, __Extra int")
+    got = o.one_of_each(docs)
+    assert got.columns == docs.columns and [r.doc_id for r in got.collect()] == [1]
+
+
+def test_a_threshold_that_parts_kinds_is_refused(spark):
+    with pytest.raises(ValueError):
+        o.groups(spark.createDataFrame([], "doc_id bigint, text string"), 0.4)
+
+
+def test_edits_that_lie_evenly_apart(spark):
+    """Every fifth word replaced, so similarity is 0.8 and few runs of words stay: most such pairs are found."""
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for i in range(60):
+        base = [word() for _ in range(200)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(word() if k % 5 == 4 else w for k, w in enumerate(base)))]
+    got = {r.doc_id: r.group_id for r in o.groups(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert sum(got.get(2 * i + 1) == 2 * i for i in range(60)) >= 0.75 * 60
