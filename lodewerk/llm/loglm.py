@@ -16,7 +16,7 @@ occur less than ``min_count`` times.
 The filter is made in shards, by n-gram, and grows with the corpus.  Up to
 ``max_broadcast`` bytes it is broadcast; beyond that n-grams travel to the
 shards and their levels back, with the same result.  N-grams are named by
-hashes with 8 bits more than it takes to number the bytes of the texts, which
+hashes with 6 bits more than it takes to number the bytes of the texts, which
 are several times as many.
 
 A *word* is what stands between white space; n-grams don't cross documents.
@@ -192,8 +192,9 @@ def scores(docs: DataFrame, min_count: int = MIN_COUNT, max_broadcast: int = MAX
     keyed = ta.keyed(docs)
     text = ta.text_bytes(docs)
     shards = ta.buckets_for(text, SHARD_BYTES)
-    bits = min(64, max(32, text.bit_length() + 8))  # there are fewer n-grams than bytes
+    bits = min(64, max(32, text.bit_length() + 6))  # there are fewer n-grams than bytes
     segments = cut(count(keyed, bits, shards, min_count))
+    docs.sparkSession.sparkContext._jvm.System.gc()  # the driver lets go of the counts' shuffle files, which nothing reads again
     made = segments.agg(F.sum("cells").alias("cells"), F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
     total, kinds = made.total or 0, made.kinds or 0
     if 8 * (made.cells or 0) > max_broadcast:
