@@ -83,3 +83,23 @@ def shrink_guard(before: int, after: int) -> None:
     """Refuses to overwrite more than 1,000 rows with fewer than half of them."""
     if before > 1000 and after * 2 < before:
         raise ValueError(f"{before} rows would shrink to {after}")
+
+
+def summaries(incidents: DataFrame, packages: DataFrame, indicators: DataFrame) -> DataFrame:
+    """A short row for each incident: its distinct sources (its own first), the ecosystem of its first package, how many packages and indicators it has, how many of these are shown (no URLs), the day."""
+    of_packages = packages.groupBy("id").agg(F.min_by("ecosystem", "pos").alias("ecosystem"), F.count("*").alias("packages"))
+    of_indicators = indicators.filter("value is not null").groupBy("id").agg(F.count("*").alias("indicators"), F.count_if(F.col("type") != "url").alias("shown"))
+    sources = F.array_join(F.array_distinct(F.concat(F.array("source"), F.coalesce("sources", F.array().cast("array<string>")))), ",")
+    rows = incidents.select("id", "module", "severity", sources.alias("sources"), F.date_format("start_ts", "yyyy-MM-dd").alias("published"))
+    return rows.join(of_packages, "id", "left").join(of_indicators, "id", "left").fillna(0, ["packages", "indicators", "shown"])
+
+
+def health(runs: DataFrame) -> DataFrame:
+    """(status, sources, names) of fetches (source, rows, error): which ended with an error, without rows, or well."""
+    status = F.when(F.col("error").isNotNull(), "errored").when(F.coalesce("rows", F.lit(0)) == 0, "empty").otherwise("ok")
+    return runs.groupBy(status.alias("status")).agg(F.count("*").alias("sources"), F.array_join(F.array_sort(F.collect_list("source")), ",").alias("names"))  # a row for each source
+
+
+def probe(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """By source of (source, id, matched, type): articles, how many matched, and indicators of each kind."""
+    return found.groupBy("source").agg(F.count_distinct("id").alias("articles"), F.count_distinct(F.when(F.col("matched"), F.col("id"))).alias("matched"), *(F.count_if(F.col("type") == k).alias(k) for k in kinds))

@@ -67,3 +67,9 @@ def popularity(incidents: DataFrame, packages: DataFrame) -> DataFrame:
 def alias_matches(texts: DataFrame, aliases: DataFrame) -> DataFrame:
     """(id, slug): aliases (in lower case) of six letters or more anywhere, shorter ones as words; each text is read once."""
     return actors.text_matches(texts, aliases).distinct()
+
+
+def cross_domain(values: DataFrame) -> DataFrame:
+    """(value, src_id, dst_id, src_module, dst_module) of (value, id, module): values that stand in several modules tie each of their incidents to the first."""
+    hubs = values.groupBy("value").agg(F.min("id").alias("src_id"), F.min_by("module", "id").alias("src_module"), F.count_distinct("module").alias("n")).filter("n > 1").drop("n")
+    return values.join(hubs, "value").filter("id <> src_id").select("value", "src_id", F.col("id").alias("dst_id"), "src_module", F.col("module").alias("dst_module")).distinct()

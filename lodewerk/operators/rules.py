@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import fnmatch
 import re
 from functools import reduce
 
@@ -13,6 +14,8 @@ _WORD = re.compile(r"\(|\)|[^\s()]+")
 
 
 def _match(field: Column, modifier: str, values: list) -> Column:
+    every = modifier.endswith("|all")  # all values rather than one
+    modifier = modifier.removesuffix("|all")
     text = field.cast("string")
     one = {
         "": lambda v: F.lower(text) == str(v).lower(),
@@ -25,7 +28,7 @@ def _match(field: Column, modifier: str, values: list) -> Column:
     }
     if modifier not in one:
         raise ValueError(f"modifier {modifier}")
-    return F.coalesce(reduce(lambda a, b: a | b, [one[modifier](v) for v in values]), F.lit(False))
+    return F.coalesce(reduce((lambda a, b: a & b) if every else (lambda a, b: a | b), [one[modifier](v) for v in values]), F.lit(False))
 
 
 def _values(value) -> list:
@@ -41,10 +44,17 @@ def selection(fields: dict) -> Column:
     return reduce(lambda a, b: a & b, parts)
 
 
-def parse(condition: str, leaf, both, either, no):
-    """A condition of names, and, or, not and parentheses; not binds first, then and."""
+def parse(condition: str, leaf, both, either, no, names=()):
+    """A condition of names, quantities of them, and, or, not and parentheses; not binds first, then and."""
     words = _WORD.findall(condition)
 
+    def of(i):
+        """``1 of name*`` and ``all of name*``, ``them`` being all selections."""
+        found = [n for n in names if words[i + 2].lower() == "them" or fnmatch.fnmatchcase(n, words[i + 2])]
+        if not found:
+            raise ValueError(f"no selection {words[i + 2]} in {condition}")
+        return reduce(either if words[i] == "1" else both, [leaf(n) for n in found]), i + 3
+
     def alternatives(i):
         left, i = terms(i)
         while i < len(words) and words[i].lower() == "or":
@@ -65,6 +75,8 @@ def parse(condition: str, leaf, both, either, no):
         if words[i].lower() == "not":
             inner, i = factor(i + 1)
             return no(inner), i
+        if words[i].lower() in ("1", "all") and i + 2 < len(words) and words[i + 1].lower() == "of":
+            return of(i)
         if words[i] == "(":
             inner, i = alternatives(i + 1)
             if i >= len(words) or words[i] != ")":
@@ -81,7 +93,11 @@ def parse(condition: str, leaf, both, either, no):
 def predicate(rule: dict) -> Column:
     """The rule as a condition on a table's columns: Catalyst prunes and pushes it like any other."""
     detection = rule["detection"]
-    return parse(detection["condition"], lambda name: selection(detection[name]), lambda a, b: a & b, lambda a, b: a | b, lambda a: ~a)
+    return parse(detection["condition"], lambda name: selection(detection[name]), lambda a, b: a & b, lambda a, b: a | b, lambda a: ~a, _names(detection))
+
+
+def _names(detection: dict) -> list[str]:
+    return [n for n in detection if n != "condition"]
 
 
 def hits(rule: dict, events: DataFrame) -> DataFrame:
@@ -93,6 +109,19 @@ def _quoted(v, mark: str) -> str:
 
 
 def _term(dialect: str, field: str, modifier: str, values: list) -> str:
+    """One comparison as text; comparisons that a dialect can't say are refused."""
+    if modifier.endswith("|all"):
+        one = [_term(dialect, field, modifier.removesuffix("|all"), [v]) for v in values]
+        return f"({(' and ' if dialect in ('kql', 'eql', 'logscale') else ' AND ').join(one)})"
+    if modifier in ("gte", "lt"):
+        if dialect == "splunk" or dialect in ("kql", "eql", "logscale", "aql"):
+            return " and ".join(f"{field} {'>=' if modifier == 'gte' else '<'} {v}" for v in values).replace(" and ", " AND " if dialect in ("splunk", "aql") else " and ")
+        return f"@{field}:{'>=' if modifier == 'gte' else '<'}{values[0]}"
+    if modifier == "re" and dialect != "kql":
+        text = {"eql": f"{field} regex~ ({', '.join(_quoted(v, chr(34)) for v in values)})", "aql": " OR ".join(f"{field} IMATCHES {_quoted(v, chr(39))}" for v in values), "logscale": " or ".join(f"{field}=/{v}/i" for v in values)}
+        if dialect not in text:
+            raise ValueError(f"{dialect} has no regular expressions for {field}")
+        return text[dialect]
     if dialect == "kql":
         if modifier == "contains":
             return f"{field} has {_quoted(values[0], chr(34))}" if len(values) == 1 else f"{field} has_any ({', '.join(_quoted(v, chr(34)) for v in values)})"
@@ -131,7 +160,7 @@ def translate(rule: dict, dialect: str) -> str:
             parts.append(f"({term})" if re.search(r" (?:or|OR) ", term) else term)
         return f"({f' {conj} '.join(parts)})"
 
-    body = parse(detection["condition"], leaf, lambda a, b: f"{a} {conj} {b}", lambda a, b: f"({a} {disj} {b})", lambda a: f"{no}{a}")
+    body = parse(detection["condition"], leaf, lambda a, b: f"{a} {conj} {b}", lambda a, b: f"({a} {disj} {b})", lambda a: f"{no}{a}", _names(detection))
     table = rule.get("logsource", {}).get("category", "events")
     return {
         "kql": f"{table}\n| where {body}\n| limit 1000",
