@@ -456,3 +456,4 @@ def keyed_upsert(spark, d):
 from . import records  # noqa: E402, F401  (registers its queries)
 from . import more  # noqa: E402, F401
 from . import rulebook  # noqa: E402, F401
+from . import registry  # noqa: E402, F401
