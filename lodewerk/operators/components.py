@@ -21,6 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Removes a folder of intermediate rows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder: they survive the loss of executors."""
     shared_folder(df.sparkSession)

@@ -13,7 +13,8 @@ def assign(rows: DataFrame, registry: DataFrame | None, prefix: str = "lw", digi
 
     Numbers are given by range partitions: each counts its own rows and adds
     what stands before it, so no task sorts a whole year.  Numbers beyond
-    ``digits`` digits are longer, never cut off.
+    ``digits`` digits are longer, never cut off.  Rows without a module, year or
+    source id get none.
     """
     keys = ["module", "year"]
     known = rows.select(*keys, "source_id").distinct()
