@@ -4,7 +4,7 @@ Counts of all n-grams of one to three words over the whole corpus are quantised
 to powers of two: an n-gram of count c has the levels 1 to 1 + floor(log2 c),
 and each of them is put into one Bloom filter.  Reading a count means probing
 for level 1, 2, ... until a probe fails; errors can only raise a level, by one
-with the filter's error rate (about 1 in 25), by two with its square.
+with the filter's error rate (about 1 in 22), by two with its square.
 Probabilities interpolate the orders: P(w|uv) = l c(uvw)/c(uv) + (1-l) P(w|v),
 down to (c(w) + 1) / (N + V + 1).  ``discount`` is taken off every count before
 that, down to 0.  The query keeps all n-grams and discounts 1: a word is
@@ -41,9 +41,9 @@ from . import textarrays as ta
 ORDERS = 3
 MIN_COUNT = 2
 WEIGHT = 0.7  # of an order against those below it
-BITS_EACH = 8  # of filter for a level of an n-gram
+BITS_EACH = 7  # of filter for a level of an n-gram
 MAX_BROADCAST = 256 << 20
-COUNT_BYTES = 4 << 20
+COUNT_BYTES = 2 << 20
 SHARD_BYTES = 8 << 20
 MAX_LEVEL = 48
 U64 = np.uint64

@@ -146,7 +146,7 @@ def test_scoring_equals_brute_force_where_no_probe_errs():
 
 @pytest.mark.parametrize("max_broadcast", [m.MAX_BROADCAST, 0])
 def test_the_query_is_close_to_brute_force(spark, max_broadcast):
-    """The filter errs for about one n-gram in 25; most documents have the exact score."""
+    """The filter errs for about one n-gram in 22; most documents have the exact score."""
     rows, want = mixed(), leave_one_out(mixed())
     got = {r.doc_id: r for r in m.scores(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), min_count=1, discount=1.0, max_broadcast=max_broadcast).collect()}
     off = np.array([abs(got[i].log2_prob - want[i]) / got[i].words for i in want])
