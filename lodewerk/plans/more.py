@@ -13,6 +13,13 @@ from .catalogue import _HOST_SQL, _listed, query
 from .records import IOCS, PKGS, RICH, indicators_of, packages_of, rich
 from .views import INC, NOW, PKG, incidents, now, packages, table
 
+
+
+def _double(sql: str, column: str = "confidence") -> str:
+    """The SQL with a column of decimal literals as doubles."""
+    return f"SELECT * REPLACE (CAST({column} AS DOUBLE) AS {column}) FROM ({sql})"
+
+
 # gates
 
 _VALUES = f"""v AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'domain' WHEN 1 THEN 'ip' WHEN 2 THEN 'url' ELSE 'sha256' END AS type, CASE page_id % 8 WHEN 0 THEN replace({_HOST_SQL}, 'example.', 'ex-') || '.net' WHEN 1 THEN '203.0.113.' || (page_id % 300) WHEN 2 THEN url WHEN 3 THEN 'abc'
@@ -141,9 +148,9 @@ def rule_descriptions(spark, d):
 _CODE = """(CASE page_id % 4 WHEN 0 THEN '''uri'' => ''/cgi-bin/' || page_id || '.cgi?x=1'', ''data'' => "cmd=whoami' || page_id || '"' WHEN 1 THEN 'open("/etc/passwd"); get("/admin/login' || page_id || '"); get("/admin/login' || page_id || '")' WHEN 2 THEN '''User-Agent'' => ''Evil Agent ' || page_id || '''; x ?shell=calc.exe&y' ELSE 'nothing here' END)"""
 
 
-@query(f"""WITH x AS (SELECT page_id, {_CODE} AS code FROM pages) SELECT page_id, t.type, t.value, t.confidence FROM x, (SELECT unnest(CASE page_id % 4
+@query(_double(f"""WITH x AS (SELECT page_id, {_CODE} AS code FROM pages) SELECT page_id, t.type, t.value, t.confidence FROM x, (SELECT unnest(CASE page_id % 4
  WHEN 0 THEN [{{'type': 'url_pattern', 'value': '/cgi-bin/' || page_id || '.cgi?x=1', 'confidence': 0.8}}, {{'type': 'request_body_pattern', 'value': 'cmd=whoami' || page_id, 'confidence': 0.7}}]
- WHEN 1 THEN [{{'type': 'url_pattern', 'value': '/admin/login' || page_id, 'confidence': 0.6}}] WHEN 2 THEN [{{'type': 'user_agent', 'value': 'Evil Agent ' || page_id, 'confidence': 0.8}}, {{'type': 'request_body_pattern', 'value': 'shell=calc.exe', 'confidence': 0.5}}] ELSE [] END) AS t)""")
+ WHEN 1 THEN [{{'type': 'url_pattern', 'value': '/admin/login' || page_id, 'confidence': 0.6}}] WHEN 2 THEN [{{'type': 'user_agent', 'value': 'Evil Agent ' || page_id, 'confidence': 0.8}}, {{'type': 'request_body_pattern', 'value': 'shell=calc.exe', 'confidence': 0.5}}] ELSE [] END) AS t)"""))
 def code_indicators(spark, d):
     code = F.expr("""case page_id % 4 when 0 then concat("'uri' => '/cgi-bin/", page_id, ".cgi?x=1', 'data' => \\"cmd=whoami", page_id, '"') when 1 then concat('open("/etc/passwd"); get("/admin/login', page_id, '"); get("/admin/login', page_id, '")') when 2 then concat("'User-Agent' => 'Evil Agent ", page_id, "'; x ?shell=calc.exe&y") else 'nothing here' end""")
     return table(spark, d, "pages").select("page_id", F.explode(W.code_indicators(code)).alias("t")).select("page_id", "t.type", "t.value", F.col("t.confidence").cast("double").alias("confidence"))
@@ -221,7 +228,7 @@ def _linked(spark, d):
     return inc, actors.attribute(inc, actors.alias_index(_profiles(spark)))
 
 
-@query(f"WITH {INC}, {_LINKS} SELECT id, module, slug, CASE e WHEN 1 THEN 'explicit' ELSE 'inferred' END AS match, CASE e WHEN 1 THEN 0.9 ELSE 0.65 END AS confidence FROM lk")
+@query(_double(f"WITH {INC}, {_LINKS} SELECT id, module, slug, CASE e WHEN 1 THEN 'explicit' ELSE 'inferred' END AS match, CASE e WHEN 1 THEN 0.9 ELSE 0.65 END AS confidence FROM lk"))
 def actor_attribution(spark, d):
     return _linked(spark, d)[1]
 
@@ -238,8 +245,8 @@ def actor_indicators(spark, d):
     return actors.actor_indicators(_linked(spark, d)[1], indicators_of(incidents(spark, d)))
 
 
-@query(f"""WITH {INC}, a AS (SELECT id, module, campaign AS actor, CASE id % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.7 WHEN 2 THEN 0.4 ELSE 0.6 END AS c FROM inc WHERE campaign <> ''), h AS (SELECT actor, min(id) AS src_id, arg_min(c, id) AS c0 FROM a GROUP BY 1 HAVING count(DISTINCT module) > 1)
-SELECT actor, src_id, id AS dst_id, greatest(c, c0) AS confidence FROM a JOIN h USING (actor) WHERE id <> src_id""")
+@query(_double(f"""WITH {INC}, a AS (SELECT id, module, campaign AS actor, CASE id % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.7 WHEN 2 THEN 0.4 ELSE 0.6 END AS c FROM inc WHERE campaign <> ''), h AS (SELECT actor, min(id) AS src_id, arg_min(c, id) AS c0 FROM a GROUP BY 1 HAVING count(DISTINCT module) > 1)
+SELECT actor, src_id, id AS dst_id, greatest(c, c0) AS confidence FROM a JOIN h USING (actor) WHERE id <> src_id"""))
 def actor_links(spark, d):
     return enrich.actor_links(incidents(spark, d).select("id", "module", F.col("campaign").alias("actor"), F.expr("element_at(array('high', 'Medium', 'low', ''), cast(id % 4 + 1 as int))").alias("level")))
 
@@ -330,12 +337,12 @@ def _os(spark, d):
     return inc, enrich.os_links(inc.filter("module = 'supply'").select("id", F.explode(F.array("cve", F.expr("concat('cve-2024-', id % 300)"))).alias("cve")), inc.filter("module = 'container'").select("id", "cve"))
 
 
-@query(f"WITH {INC}, {_OS} SELECT a AS src_id, b AS dst_id, 'os-packages' AS src_module, cve, 0.9 AS confidence FROM pr UNION ALL SELECT b, a, 'container', cve, 0.9 FROM pr")
+@query(_double(f"WITH {INC}, {_OS} SELECT a AS src_id, b AS dst_id, 'os-packages' AS src_module, cve, 0.9 AS confidence FROM pr UNION ALL SELECT b, a, 'container', cve, 0.9 FROM pr"))
 def os_container_links(spark, d):
     return _os(spark, d)[1]
 
 
-@query(f"WITH {INC}, {_OS} SELECT DISTINCT b AS id, package || '/' || 'v' || (inc.id % 5) AS value, 0.85 AS confidence FROM pr JOIN inc ON inc.id = a")
+@query(_double(f"WITH {INC}, {_OS} SELECT DISTINCT b AS id, package || '/' || 'v' || (inc.id % 5) AS value, 0.85 AS confidence FROM pr JOIN inc ON inc.id = a"))
 def installed_packages(spark, d):
     inc, links = _os(spark, d)
     return enrich.installed_packages(links, packages_of(inc).filter("pos = 0"))
