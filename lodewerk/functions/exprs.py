@@ -194,6 +194,6 @@ def cvss3_base(text: Column) -> Column:
 
 def flatten_space(text: Column) -> Column:
     """Latin-1 read as UTF-8 is repaired if that loses nothing; control characters go, white space becomes one blank."""
-    again = F.decode(F.encode(text, "ISO-8859-1"), "UTF-8")
+    again = F.make_valid_utf8(F.encode(text, "ISO-8859-1").cast("string"))
     fixed = F.when(text.rlike("[\u00c2-\u00f4][\u0080-\u00bf]") & ~text.rlike("[^\u0001-\u00ff]") & ~again.contains("\ufffd"), again).otherwise(text)
     return F.trim(F.regexp_replace(F.regexp_replace(fixed, "[\u0080-\u009f]", ""), r"\s+", " "))

@@ -66,7 +66,7 @@ def id_slug(text: Column) -> Column:
 
 def truncate(text: Column, most: int, tail: str = "") -> Column:
     """The first ``most`` bytes, but whole characters only, and ``tail`` if something was cut off."""
-    head = F.decode(F.substring(F.encode(text, "UTF-8"), 1, most), "UTF-8")
+    head = F.make_valid_utf8(F.substring(F.encode(text, "UTF-8"), 1, most).cast("string"))
     return F.when(F.octet_length(text) > most, F.concat(F.regexp_replace(head, "\ufffd+$", ""), F.lit(tail))).otherwise(text)
 
 
@@ -208,8 +208,8 @@ def code_indicators(code: Column) -> Column:
 
 
 def stix_confidence(confidence: Column) -> Column:
-    """0 to 100, cut off."""
-    return F.least((confidence * 100 + 1e-9).cast("int"), F.lit(100))
+    """0 to 100, cut off; 0 if there is none."""
+    return F.least((F.coalesce(confidence, F.lit(0.0)) * 100 + 1e-9).cast("int"), F.lit(100))
 
 
 def technique_address(technique: Column) -> Column:
