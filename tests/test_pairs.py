@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lodewerk.operators import links, pairs
+from lodewerk.operators import enrich, links, pairs
 
 
 def shuffled(spark, run):
@@ -35,3 +35,25 @@ def test_cve_links_are_not_shuffled(spark):
     rows = spark.range(1000).select("id", F.when(F.col("id") % 2 == 0, "cve").otherwise("container").alias("module"), F.lit("cve-1").alias("cve"))
     n, moved = shuffled(spark, lambda: links.cve_links(rows).count())
     assert n == 500_000 and moved < 10_000
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_os_links_have_the_least_cve(spark, monkeypatch, block):
+    """Incidents with several CVEs in common, repeated rows, null ids and CVEs."""
+    monkeypatch.setattr(pairs, "BLOCK", block)
+    packages = [(i, f"c{(i * k) % 7}") for i in range(15) for k in range(1, 4)] + [(3, "c3"), (3, "c3"), (None, "c1"), (4, None)]
+    containers = [(i, f"c{(i + k) % 7}") for i in range(100, 112) for k in range(i % 3 + 1)] + [(100, "c2"), (3, "c3"), (None, "c1"), (101, None)]
+    by: dict = {}
+    for a, c in packages:
+        for b, d in containers:
+            if c == d and c:
+                by[a, b] = min(by.get((a, b), c), c)
+    want = [x for (a, b), c in by.items() for x in ((a, b, "os-packages", c, 0.9), (b, a, "container", c, 0.9))]
+    got = enrich.os_links(*(spark.createDataFrame(rows, "id bigint, cve string") for rows in (packages, containers)))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_os_links_are_not_shuffled(spark):
+    packages, containers = (spark.range(n, n + 500).select("id", F.explode(F.array(F.lit("c1"), F.lit("c2"))).alias("cve")) for n in (0, 1000))
+    made, moved = shuffled(spark, lambda: enrich.os_links(packages, containers).groupBy("cve").count().collect())
+    assert [tuple(r) for r in made] == [("c1", 500_000)] and moved < 20_000
