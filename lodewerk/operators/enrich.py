@@ -71,11 +71,15 @@ def os_links(packages: DataFrame, containers: DataFrame) -> DataFrame:
     return met.select(F.col("x_id").alias("src_id"), F.col("y_id").alias("dst_id"), module.alias("src_module"), "cve", F.lit(LINK_CONFIDENCE).alias("confidence"))
 
 
-def installed_packages(links: DataFrame, versions: DataFrame) -> DataFrame:
-    """(id, value, confidence): containers get a name/version for each affected version of the OS packages that they are linked to."""
-    pairs = links.filter("src_module = 'os-packages'").select(F.col("src_id").alias("os"), F.col("dst_id").alias("id"))
+def installed_packages(packages: DataFrame, containers: DataFrame, versions: DataFrame) -> DataFrame:
+    """(id, value, confidence): containers get a name/version for each affected version of the OS packages that they share a CVE with.
+
+    The values of a CVE are the same for all its containers, so packages become
+    distinct values before they meet containers.
+    """
     value = F.concat_ws("/", "name", "version").alias("value")
-    return pairs.join(versions.select(F.col("id").alias("os"), value), "os").select("id", "value").distinct().withColumn("confidence", F.lit(PACKAGE_CONFIDENCE))
+    values = packages.select("id", "cve").distinct().join(versions.select("id", value).distinct(), "id").select("cve", "value").distinct()
+    return values.join(containers.select("id", "cve").distinct(), "cve").select("id", "value").distinct().withColumn("confidence", F.lit(PACKAGE_CONFIDENCE))
 
 
 def actor_links(incidents: DataFrame) -> DataFrame:

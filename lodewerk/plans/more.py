@@ -345,7 +345,7 @@ def os_container_links(spark, d):
 @query(_double(f"WITH {INC}, {_OS} SELECT DISTINCT b AS id, package || '/' || 'v' || (inc.id % 5) AS value, 0.85 AS confidence FROM pr JOIN inc ON inc.id = a"))
 def installed_packages(spark, d):
     inc, sides = _os(spark, d)
-    return enrich.installed_packages(enrich.os_links(*sides), packages_of(inc).filter("pos = 0"))
+    return enrich.installed_packages(*sides, packages_of(inc).filter("pos = 0"))
 
 
 @query(f"""WITH {PKG}, k AS (SELECT o_orderkey AS id, p_name AS name, p_type AS ecosystem FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey) SELECT id, count(*) AS packages, max(weekly) AS top, CAST(sum(weekly) AS BIGINT) AS total,

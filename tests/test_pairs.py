@@ -57,3 +57,13 @@ def test_os_links_are_not_shuffled(spark):
     packages, containers = (spark.range(n, n + 500).select("id", F.explode(F.array(F.lit("c1"), F.lit("c2"))).alias("cve")) for n in (0, 1000))
     made, moved = shuffled(spark, lambda: enrich.os_links(packages, containers).groupBy("cve").count().collect())
     assert [tuple(r) for r in made] == [("c1", 500_000)] and moved < 20_000
+
+
+def test_installed_packages_meet_by_cve(spark):
+    """The values of the packages that a container shares a CVE with, without a row for each pair of both."""
+    packages = spark.range(600).select("id", F.lit("c1").alias("cve")).unionByName(spark.createDataFrame([(1, "c2"), (2, None)], "id bigint, cve string"))
+    containers = spark.range(1000, 1600).select("id", F.lit("c1").alias("cve")).unionByName(spark.createDataFrame([(2000, "c2"), (2000, "c2"), (2001, "c9"), (2002, None)], "id bigint, cve string"))
+    versions = packages.select("id", F.lit("p").alias("name"), F.concat(F.lit("v"), F.col("id") % 2).alias("version")).filter("id <> 3")
+    made, moved = shuffled(spark, lambda: enrich.installed_packages(packages, containers, versions).collect())
+    assert {tuple(r) for r in made} == {(i, f"p/v{k}", 0.85) for i in range(1000, 1600) for k in (0, 1)} | {(2000, "p/v1", 0.85)}
+    assert len(made) == 1201 and moved < 20_000
