@@ -23,6 +23,34 @@ WAZUH_LEVEL = {"critical": 15, "high": 12, "medium": 8, "low": 4, "informational
 WAZUH_FIELDS = {"Image": "win.eventdata.image", "CommandLine": "win.eventdata.commandLine", "ParentImage": "win.eventdata.parentImage", "TargetFilename": "win.eventdata.targetFilename", "DestinationHostname": "win.eventdata.destinationHostname", "DestinationIp": "win.eventdata.destinationIp", "Hashes": "win.eventdata.hashes"}
 CHRONICLE_FIELDS = {"Image": "principal.process.file.full_path", "CommandLine": "target.process.command_line", "ParentImage": "principal.process.parent_process.file.full_path", "TargetFilename": "target.file.full_path", "DestinationHostname": "target.hostname", "DestinationIp": "target.ip", "Hashes": "target.file.sha256"}
 MIN_YARA = 0.70
+MAX_SHAPES = 4096  # detections that a worker remembers
+
+
+class Detection(dict):
+    """Selections and condition that many rules have in common, and what was made of them."""
+
+    def __init__(self, *given):
+        super().__init__(*given)
+        self.made: dict = {}
+
+
+def _once(rule: dict, name: str, make: Callable[[], object]):
+    """What follows from the detection and the log source alone: made once for rules that share them (see ``compiled``)."""
+    if not isinstance(rule["detection"], Detection):
+        return make()
+    made = rule["detection"].made
+    if name not in made:
+        try:
+            made[name] = make()
+        except ValueError as no:
+            made[name] = no
+    if isinstance(made[name], ValueError):
+        raise made[name]
+    return made[name]
+
+
+def _translated(rule: dict, dialect: str) -> str:
+    return _once(rule, dialect, lambda: R.translate(rule, dialect))
 
 
 def fields_of(rule: dict) -> Iterator[tuple[str, str, str, list]]:
@@ -47,22 +75,23 @@ def _regex(modifier: str, values: list[str]) -> str:
 def sentinel(rule: dict) -> str:
     """A scheduled analytics rule around the KQL of the condition."""
     tactics = sorted({t.removeprefix("attack.").replace("-", " ").replace("_", " ").title().replace(" ", "") for t in rule.get("tags", []) if t.startswith("attack.") and not re.match(r"attack\.[tgs]\d", t)})
-    return json.dumps({"kind": "Scheduled", "name": rule.get("id", ""), "properties": {"displayName": rule["title"], "severity": SEVERITY.get(rule.get("level", "medium"), "Medium"), "query": R.translate(rule, "kql"), "queryFrequency": "PT1H", "queryPeriod": "PT1H", "triggerOperator": "GreaterThan", "triggerThreshold": 0, "tactics": tactics}}, sort_keys=True)
+    return json.dumps({"kind": "Scheduled", "name": rule.get("id", ""), "properties": {"displayName": rule["title"], "severity": SEVERITY.get(rule.get("level", "medium"), "Medium"), "query": _translated(rule, "kql"), "queryFrequency": "PT1H", "queryPeriod": "PT1H", "triggerOperator": "GreaterThan", "triggerThreshold": 0, "tactics": tactics}}, sort_keys=True)
 
 
 def number_of(rule_id: str, base: int = 100_000, size: int = 900_000) -> int:
     """A number from an id's hexadecimal digits, read one after another."""
-    n = 0
-    for c in rule_id.replace("-", "").lower():
-        n = (n * 16 + int(c, 16)) % size if c in "0123456789abcdef" else n
-    return base + n
+    return base + int(re.sub("[^0-9a-f]", "", rule_id.lower()) or "0", 16) % size
 
 
 def wazuh(rule: dict) -> str:
     """One rule with a pattern for each field, all of which must hold; the condition isn't expressed, and excluded selections are negated."""
-    out = negated(rule)
+
+    def patterns() -> list[str]:
+        out = negated(rule)
+        return [f'    <field name="{escape(WAZUH_FIELDS.get(f, f))}" type="pcre2"{" negate=" + chr(34) + "yes" + chr(34) if s in out else ""}>{escape(_regex(m, v))}</field>' for s, f, m, v in fields_of(rule)]
+
     lines = [f'  <rule id="{number_of(rule.get("id", ""))}" level="{WAZUH_LEVEL.get(rule.get("level", "medium"), 8)}">']
-    lines += [f'    <field name="{escape(WAZUH_FIELDS.get(f, f))}" type="pcre2"{" negate=" + chr(34) + "yes" + chr(34) if s in out else ""}>{escape(_regex(m, v))}</field>' for s, f, m, v in fields_of(rule)]
+    lines += _once(rule, "wazuh", patterns)
     return "\n".join(['<group name="lodewerk,">', *lines, f"    <description>{escape(rule['title'])}</description>", "  </rule>", "</group>"])
 
 
@@ -70,19 +99,19 @@ def chronicle(rule: dict) -> str:
     """A YARA-L rule of the selections that aren't excluded, all of which must hold."""
     name = re.sub(r"[^0-9a-z]+", "_", rule["title"].lower()).strip("_") or "rule"
     suffix = rule.get("id", "").replace("-", "")[-8:]
-    events = []
-    for s, f, m, v in fields_of(rule):
-        if s not in negated(rule):
-            events.append(f"    re.regex($e.{CHRONICLE_FIELDS.get(f, f)}, `{_regex(m, v)}`)")
+    events = _once(rule, "chronicle", lambda: [f"    re.regex($e.{CHRONICLE_FIELDS.get(f, f)}, `{_regex(m, v)}`)" for s, f, m, v in fields_of(rule) if s not in negated(rule)])
     return "\n".join([f"rule {name}_{suffix} {{", "  meta:", f'    severity = "{SEVERITY.get(rule.get("level", "medium"), "Medium").upper()}"', "  events:", *events, "  condition:", "    $e", "}"])
 
 
 def _hosts(rule: dict) -> tuple[list[str], list[str]]:
-    names, addresses = [], []
-    for s, f, _, v in fields_of(rule):
-        if s not in negated(rule):
-            (names if f == "DestinationHostname" else addresses if f == "DestinationIp" else []).extend(v)
-    return names, addresses
+    def found() -> tuple[list[str], list[str]]:
+        names, addresses = [], []
+        for s, f, _, v in fields_of(rule):
+            if s not in negated(rule):
+                (names if f == "DestinationHostname" else addresses if f == "DestinationIp" else []).extend(v)
+        return names, addresses
+
+    return _once(rule, "hosts", found)
 
 
 def _sid(rule_id: str, nth: int) -> int:
@@ -115,7 +144,7 @@ def falcon(rule: dict, action: str = "detect") -> str:
 
 
 COMPILERS: dict[str, Callable[[dict], str]] = {
-    **{d: (lambda rule, d=d: R.translate(rule, d)) for d in R.DIALECTS},
+    **{d: (lambda rule, d=d: _translated(rule, d)) for d in R.DIALECTS},
     "sentinel": sentinel,
     "wazuh": wazuh,
     "chronicle": chronicle,
@@ -128,34 +157,51 @@ OPTIONAL = ("falcon", "datadog")  # left out unless asked for
 DEFAULT = tuple(d for d in COMPILERS if d not in OPTIONAL)
 
 
-def compiled(made: DataFrame, dialects: tuple[str, ...] = DEFAULT) -> DataFrame:
-    """(rule_id, dialect, text): every rule (see ``generate.rules``) for every engine, network sensors for network rules only; no text, no row.
+def compiled(made: DataFrame, dialects: tuple[str, ...] = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(rule_id, dialect, text) and what columns to keep: every rule (see ``generate.rules``) for every engine, network sensors for network rules only; no text, no row.
 
-    A scan with a small cross product inside: rules aren't shuffled.
+    A scan with a small cross product inside: rules aren't shuffled.  What
+    follows from selections, condition and log source is made once for all
+    rules that share them, as far as a worker remembers.
     """
     unknown = set(dialects) - set(COMPILERS)
     if unknown:
         raise ValueError(f"dialects {sorted(unknown)}")
+    own = ("rule_id", "dialect", "text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes: dict[str, tuple[dict, Detection]] = {}
         for batch in batches:
-            out: list[tuple[str, str, str]] = []
-            for row in batch.to_pylist():
-                detection: dict = {"condition": row["condition"]}
-                for x in row["fields"]:
-                    detection.setdefault(x["selection"], {})[x["field"]] = x["values"]
-                rule = {"title": f"{row['layer']} {row['subtype']} {row['incident_id']}", "id": row["rule_id"], "level": row["level"], "logsource": {"category": row["category"], "product": row["product"]}, "detection": detection}
+            ids, names, texts, at = [], [], [], []
+            columns = (batch.column(i).to_pylist() for i in range(6))
+            for i, (incident, layer, subtype, rule_id, level, shape) in enumerate(zip(*columns, strict=True)):
+                if shape not in shapes:
+                    if len(shapes) >= MAX_SHAPES:
+                        shapes.clear()
+                    read = json.loads(shape)
+                    detection = Detection({"condition": read.get("condition")})
+                    for x in read["fields"]:
+                        detection.setdefault(x["selection"], {})[x["field"]] = x["values"]
+                    shapes[shape] = {"category": read.get("category"), "product": read.get("product")}, detection
+                source, detection = shapes[shape]
+                rule = {"title": f"{layer} {subtype} {incident}", "id": rule_id, "level": level, "logsource": source, "detection": detection}
                 for d in dialects:
-                    if d not in ONLY_NETWORK or row["category"] in NETWORK:
+                    if d not in ONLY_NETWORK or source["category"] in NETWORK:
                         try:
                             text = COMPILERS[d](rule)
                         except ValueError:  # a comparison that the engine can't say
                             continue
                         if text:
-                            out.append((row["rule_id"], d, text))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.string()) for i in range(3)], ["rule_id", "dialect", "text"])
-
-    return made.select("incident_id", "layer", "subtype", "rule_id", "category", "product", "condition", "level", "fields").mapInArrow(scan, "rule_id string, dialect string, text string")
+                            ids.append(rule_id)
+                            names.append(d)
+                            texts.append(text)
+                            at.append(i)
+            kept = batch.select(list(range(6, batch.num_columns))).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in (ids, names, texts)), *kept.columns], [*own, *keep])
+
+    shape = F.to_json(F.struct("category", "product", "condition", "fields"))
+    types = "".join(f", `{c}` {made.schema[c].dataType.simpleString()}" for c in keep)
+    return made.select("incident_id", "layer", "subtype", "rule_id", "level", shape, *(F.col(c).alias(f"_kept_{c}") for c in keep)).mapInArrow(scan, f"rule_id string, dialect string, text string{types}")
 
 
 def yara(incidents: DataFrame) -> DataFrame:

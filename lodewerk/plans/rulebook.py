@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import exprs as E
-from ..operators import bundles, dialects, generate, index, links, repair, rules, shards
+from ..operators import bundles, dialects, generate, index, links, pairs, repair, rules, shards
 from .catalogue import query
 from .more import _profiles
 from .records import IOCS, PKGS, RICH, indicators_of, packages_of, rich
@@ -24,7 +24,7 @@ def _rule_incidents(spark, d):
     def some(n, *values):
         return F.when(F.col("id") % n == 0, F.array(*(F.lit(v) if isinstance(v, str) else v for v in values))).otherwise(F.array().cast("array<string>"))
 
-    inc = incidents(spark, d)
+    inc = pairs.spread(incidents(spark, d))
     host = F.concat(F.lit("evil"), "user_id", F.lit(".bad"))
     return inc.select(
         "id", "module", "severity", "cvss", (F.col("value") > 480).alias("exploited"), (F.col("id") % 3 == 0).alias("ransomware"), F.when(F.col("id") % 4 == 0, "fam").otherwise("").alias("family"), F.when(F.col("module") == "cve", F.col("cve")).alias("cve"), (F.col("id") % 2 == 0).alias("sure"),
@@ -55,7 +55,7 @@ def rules_generated(spark, d):
 @query(f"WITH {INC}, {_RULES} SELECT dialect, layer, count(*) AS n FROM g, (VALUES {', '.join(f'({chr(39)}{x}{chr(39)})' for x in dialects.DEFAULT)}) t(dialect) WHERE dialect NOT IN ('suricata', 'snort') OR (layer = 'ioc' AND subtype IN ('network', 'session')) GROUP BY 1, 2")
 def rules_compiled(spark, d):
     made = generate.rules(_rule_incidents(spark, d))
-    return dialects.compiled(made).join(made.select("rule_id", "layer"), "rule_id").groupBy("dialect", "layer").agg(F.count("*").alias("n"))
+    return dialects.compiled(made, keep=("layer",)).groupBy("dialect", "layer").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {INC}, {_RULES} SELECT id AS incident_id, 'title: exposure lockfile' || chr(10) || 'id: ' || {_uuid(chr(39) + _NS + chr(39) + ' || id || ' + chr(39) + ':exposure:lockfile' + chr(39))} || chr(10) || 'description: |' || chr(10) || '  Incident: ' || id || chr(10) || 'logsource:' || chr(10) || '  category: file_event' || chr(10) || '  product: any' || chr(10)

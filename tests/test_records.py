@@ -146,3 +146,31 @@ def test_gates_and_words_on_odd_values(spark):
     assert one.select(W.campaign_name(F.lit("Attribution: campaign: Silent Wolf, again"))).first()[0] == "Silent Wolf"
     assert one.select(W.embedded_id(F.lit("x\nIncident: lw-1\ty"))).first()[0] == "lw-1" and one.select(W.embedded_category(F.lit("a:\n  category: dns\n"))).first()[0] == "dns"
     assert one.select(W.actor_type(F.lit("A State-Sponsored group"))).first()[0] == "nation-state" and one.select(W.actor_type(F.lit(None).cast("string"))).first()[0] == "unknown"
+
+
+def test_rules_of_one_shape_are_read_once(spark, monkeypatch):
+    """Texts as each compiler makes them of a plain rule, columns that are kept, one translation for many rules and few shapes remembered."""
+    rows = [(i, "l", "s", f"0000000{i % 10}-9abc-5def-8123-456789abcdef", "dns" if i % 2 else "process", "any", "a and not b", [("a", "DestinationHostname|contains", [f"h{i % 3}é\"", "x"]), ("b", "Image", ["y"]), ("a", "z|re" if i % 5 == 0 else "z", ["q"])], "high") for i in range(300)]
+    made = spark.createDataFrame(rows, "incident_id bigint, layer string, subtype string, rule_id string, category string, product string, condition string, fields array<struct<selection: string, field: string, values: array<string>>>, level string").coalesce(1)
+    want = []
+    for i, layer, subtype, rule_id, category, product, condition, fields, level in rows:
+        detection = {"condition": condition}
+        for s, f, v in fields:
+            detection.setdefault(s, {})[f] = v
+        for d in dialects.COMPILERS:
+            if d not in dialects.ONLY_NETWORK or category in dialects.NETWORK:
+                try:
+                    text = dialects.COMPILERS[d]({"title": f"{layer} {subtype} {i}", "id": rule_id, "level": level, "logsource": {"category": category, "product": product}, "detection": detection})
+                except ValueError:
+                    continue
+                want += [(rule_id, d, text, i)] if text else []
+    for most in (1, 4096):
+        monkeypatch.setattr(dialects, "MAX_SHAPES", most)
+        assert sorted(map(tuple, dialects.compiled(made, tuple(dialects.COMPILERS), ("incident_id",)).collect())) == sorted(want)
+    calls = []
+    monkeypatch.setattr(dialects.R, "translate", lambda rule, d: calls.append(d) or "x")
+    shared = dialects.Detection({"condition": "a", "a": {"f": ["v"]}})
+    for _ in range(3):
+        assert dialects.COMPILERS["kql"]({"title": "t", "detection": shared}) == "x"
+        dialects.sentinel({"title": "t", "detection": shared})
+    assert calls == ["kql"]
