@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 LONG = 6  # aliases of so many bytes are sought anywhere, shorter ones as words
 EXPLICIT, INFERRED = 0.90, 0.65
 MAX_ALIASES = 16 << 20
+SLICE = 256  # texts whose matches are held at once
 
 
 def alias_index(profiles: DataFrame) -> DataFrame:
@@ -61,9 +62,10 @@ def text_matches(texts: DataFrame, aliases: DataFrame, most: int = MAX_ALIASES)
                     short[alias] = slug
             tree.make_automaton()
             words = re.compile(r"\b(" + "|".join(sorted(map(re.escape, short), key=len, reverse=True)) + r")\b", re.ASCII) if short else None
-            for batch in batches:
+            for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
                 ids, slugs = [], []
-                for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    text = text.as_py()  # one text at a time is an object of Python
                     low = (text or "").lower()
                     found = {slug for _, slug in tree.iter(low)} if len(tree) else set()
                     if words:

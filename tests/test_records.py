@@ -174,3 +174,12 @@ def test_rules_of_one_shape_are_read_once(spark, monkeypatch):
         assert dialects.COMPILERS["kql"]({"title": "t", "detection": shared}) == "x"
         dialects.sentinel({"title": "t", "detection": shared})
     assert calls == ["kql"]
+
+
+def test_aliases_in_slices_of_a_batch(spark, monkeypatch):
+    """Every text of a batch is read, whatever the slices in which it is held."""
+    texts = spark.range(7, numPartitions=1).select("id", F.when(F.col("id") != 4, F.concat(F.lit("by ZINC and Lazarus-Group "), "id")).alias("text"))
+    aliases = spark.createDataFrame([("zinc", "z"), ("lazarus-group", "l")], "alias string, slug string")
+    for size in (1, 3, 7, 256):
+        monkeypatch.setattr(actors, "SLICE", size)
+        assert sorted(map(tuple, actors.text_matches(texts, aliases).collect())) == [(i, s) for i in range(7) if i != 4 for s in "lz"]
