@@ -88,11 +88,15 @@ URL_SPACE = "6ba7b8119dad11d180b400c04fd430c8"
 
 
 def uuid5(name: Column) -> Column:
-    """The name-based UUID (version 5) in the URL name space."""
+    """The name-based UUID (version 5) in the URL name space; empty without a name.
+
+    The hash is named twice, no oftener: ids are made of ids, and expressions
+    grow with a power of how deep they are nested.
+    """
     h = F.sha1(F.concat(F.unhex(F.lit(URL_SPACE)), F.encode(name, "UTF-8")))
-    variant = F.substring(F.lit("89ab"), 1, 4)
-    nibble = F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant.substr(nibble, F.lit(1)), F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    variant = F.lit("89ab" * 4).substr(F.position(F.substring(h, 17, 1), F.lit("0123456789abcdef")), F.lit(1))
+    out = F.overlay(F.overlay(F.substring(h, 1, 32), F.lit("-5"), 13, 1), F.lit("-"), 9, 0)
+    return F.coalesce(F.overlay(F.overlay(out, F.concat(F.lit("-"), variant), 19, 1), F.lit("-"), 24, 0), F.lit(""))
 
 
 def sid(uuid: Column) -> Column:

@@ -99,19 +99,18 @@ def invalid(made: DataFrame, within: tuple[str, ...] = ("bundle",)) -> DataFrame
     kind = F.col("type")
     tail = F.expr("substring(id, length(type) + 3)")
     needs = kind.isin("identity", "campaign", "attack-pattern", "vulnerability", "indicator")
-    checks = F.array_compact(F.array(
+    checks = F.array(
         F.when(~F.coalesce(F.startswith("id", F.concat("type", F.lit("--"))), F.lit(False)) | ~F.coalesce(tail.rlike(UUID), F.lit(False)), F.lit("bad id")),
         F.when(needs & (F.coalesce("name", F.lit("")) == ""), F.lit("no name")),
         F.when((kind == "indicator") & (F.coalesce("pattern", F.lit("")) == ""), F.lit("no pattern")),
         F.when(kind.isin("malware", "threat-actor", "indicator") & (F.coalesce("kind", F.lit("")) == ""), F.lit("no types")),
         F.when((kind == "relationship") & (F.coalesce("relation", F.lit("")) == ""), F.lit("no relation")),
-    ))
-    bad = made.select("bundle", "id", F.explode(checks).alias("problem"))
+    )
+    bad = made.select("bundle", "id", F.explode(checks).alias("problem")).filter("problem is not null")
     known = made.select(*within, F.col("id").alias("_end")).distinct()
-    for end in ("source_ref", "target_ref"):
-        lost = made.filter("type = 'relationship'").withColumn("_end", F.col(end)).join(known, [*within, "_end"], "left_anti")
-        bad = bad.unionByName(lost.select("bundle", "id", F.lit(f"{end} unknown").alias("problem")))
-    return bad
+    ends = F.array(*(F.struct(F.lit(f"{end} unknown").alias("problem"), F.col(end).alias("_end")) for end in ("source_ref", "target_ref")))
+    lost = made.filter("type = 'relationship'").select("bundle", "id", F.inline(ends)).join(known, [*within, "_end"], "left_anti")  # both ends meet what is known at once
+    return bad.unionByName(lost.select("bundle", "id", "problem"))
 
 
 def documents(made: DataFrame, now: str) -> DataFrame:

@@ -183,3 +183,32 @@ def test_aliases_in_slices_of_a_batch(spark, monkeypatch):
     for size in (1, 3, 7, 256):
         monkeypatch.setattr(actors, "SLICE", size)
         assert sorted(map(tuple, actors.text_matches(texts, aliases).collect())) == [(i, s) for i in range(7) if i != 4 for s in "lz"]
+
+
+def test_ids_of_ids_stay_small(spark):
+    """A relationship's id has two ids in it: its hash is named a few times only, and it is that of Python."""
+    import uuid
+
+    seed = F.concat_ws(":", bundles.stix_id("indicator", F.col("v")), F.lit("indicates"), bundles.stix_id("campaign", F.col("v")))
+    made = spark.createDataFrame([("é1",), ("",), (None,)], "v string").select("v", bundles.stix_id("relationship", seed).alias("id"))
+    assert made._jdf.queryExecution().analyzed().toString().count("sha1(") < 20
+
+    def of(kind, x):
+        return f"{kind}--{uuid.uuid5(uuid.NAMESPACE_URL, f'{bundles.NAMESPACE}{kind}:{x}')}"
+
+    got = {r.v: r.id for r in made.collect()}
+    assert all(got[v] == of("relationship", f"{of('indicator', v)}:indicates:{of('campaign', v)}") for v in ("é1", ""))
+    assert got[None] == of("relationship", "indicator--:indicates:campaign--")
+
+
+def test_both_ends_meet_what_is_known_at_once(spark):
+    """Ends that are null, in another bundle only, or the relationship itself; one join and no object made twice for it."""
+    def row(bundle, id, source, target):
+        return (bundle, id, "relationship", "uses", source, target)
+
+    rows = [("1", "a", "x", None, None, None), ("2", "b", "x", None, None, None), row("1", "r", "a", "b"), row("1", "r", "a", "b"), row("2", "s", None, "s"), row(None, "t", "t", "a")]
+    made = spark.createDataFrame(rows, "bundle string, id string, type string, relation string, source_ref string, target_ref string").selectExpr("*", "'n' as name", "'p' as pattern", "'k' as kind")
+    near, far = (sorted((tuple(r) for r in bundles.invalid(made, w).filter("problem <> 'bad id'").collect()), key=repr) for w in (("bundle",), ()))
+    lost = [("1", "r", "target_ref unknown")] * 2 + [("2", "s", "source_ref unknown")]
+    assert near == sorted([*lost, (None, "t", "source_ref unknown"), (None, "t", "target_ref unknown")], key=repr) and far == [("2", "s", "source_ref unknown")]
+    assert bundles.invalid(made)._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
