@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as E
 from ..functions import words as W
 from .index import keep_first
+from .pairs import spread
 
 NAMESPACE = "lodewerk:stix:"
 LEVELS = {"low": 0.40, "medium": 0.65, "high": 0.85}
@@ -55,9 +56,12 @@ def objects(incidents: DataFrame, indicators: DataFrame, techniques: DataFrame,
 
     Indicators are (id, type, value, confidence), techniques (id, technique,
     name), profiles (slug, name, description) with the actor's name in any case.
-    Names of files and the like have fixed confidences.
+    Names of files and the like have fixed confidences.  Rows are spread first:
+    objects are many times the bytes of what they are made of, so tasks by bytes
+    read would hold millions of objects when these are sorted.
     """
-    inc = incidents.withColumn("campaign", F.coalesce("campaign", F.lit(""))).withColumn("actor", F.coalesce("actor", F.lit("")))
+    indicators, techniques = spread(indicators, "id"), spread(techniques, "id")
+    inc = spread(incidents, "id").withColumn("campaign", F.coalesce("campaign", F.lit(""))).withColumn("actor", F.coalesce("actor", F.lit("")))
     vuln_name = F.coalesce(F.nullif("osv_id", F.lit("")), F.nullif("ghsa_id", F.lit("")))
     address = F.when(F.col("osv_id") != "", F.concat(F.lit("https://osv.dev/vulnerability/"), "osv_id")).otherwise(F.concat(F.lit("https://github.com/advisories/"), "ghsa_id"))
     named, acted = inc.filter("campaign <> ''"), inc.filter("actor <> ''")

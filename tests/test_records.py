@@ -212,3 +212,21 @@ def test_both_ends_meet_what_is_known_at_once(spark):
     lost = [("1", "r", "target_ref unknown")] * 2 + [("2", "s", "source_ref unknown")]
     assert near == sorted([*lost, (None, "t", "source_ref unknown"), (None, "t", "target_ref unknown")], key=repr) and far == [("2", "s", "source_ref unknown")]
     assert bundles.invalid(made)._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
+
+
+def test_no_task_makes_the_objects_of_all_incidents(spark):
+    """Rows that lie in one partition: their objects come from many, and each counts once."""
+    inc = spark.range(0, 4000, numPartitions=1).selectExpr("id", "'x' as attack_type", "concat('OSV-', id) as osv_id", "'' as ghsa_id", "'Camp' as campaign", "'lazarus' as actor", "'high' as level", "'d' as description")
+    io = inc.selectExpr("id", "'domain' as type", "concat(id, '.bad') as value", "0.5D as confidence")
+    profiles = spark.createDataFrame([("lazarus", "Lazarus", "about")], "slug string, name string, description string")
+    made = bundles.objects(inc, io, inc.filter("id % 2 = 0").selectExpr("id", "'T1195' as technique", "'Supply' as name"), profiles)
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}  # what puts small tables in one place
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        most = {r.type: r.n for r in made.groupBy("type", F.spark_partition_id()).count().groupBy("type").agg(F.max("count").alias("n")).collect()}
+    finally:
+        for k in off:
+            spark.conf.unset(k)
+    assert max(most[t] for t in ("identity", "indicator", "campaign", "vulnerability")) < 1000
+    assert {r.type: r.n for r in bundles.once(made).groupBy("type").agg(F.count("*").alias("n")).collect()} == {"identity": 1, "vulnerability": 4000, "campaign": 1, "malware": 1, "threat-actor": 1, "intrusion-set": 1, "attack-pattern": 1, "indicator": 4000, "relationship": 4004}
