@@ -32,16 +32,28 @@ def merge_keys(incidents: DataFrame, packages: DataFrame, indicators: DataFrame)
     return keys.unionByName(of(indicators, "ioc:", F.col("value"), F.col("value") != "")).distinct()
 
 
-def near_chain(keyed: DataFrame, days: int) -> DataFrame:
-    """Of (key, id, start_ts) edges between neighbours in time of a key that are at most so many days apart.
-
-    Two rows of a key within that time are joined by such a chain, so the
-    components are those of all pairs while there are fewer edges than rows.
+def shared_edges(rows: DataFrame, days: int) -> DataFrame:
+    """Of (ioc, id, at, trusted), times in microseconds, edges whose components are those of all pairs so many days apart at most that share two indicators, or one if both are trusted.
+
+    An edge joins neighbours in time of a key; two rows of a key within that
+    time are joined by such a chain.  Keys are an indicator, for trusted rows,
+    and two indicators of one incident.  Indicators are numbered once, by their
+    stretches without a longer gap, and only the numbers make pairs; a row that
+    is alone in its stretch has no part in any.
     """
-    order = Window.partitionBy("key").orderBy("start_ts", "id")
-    near = F.unix_micros(F.col("start_ts").cast("timestamp")) - F.unix_micros(F.col("before").cast("timestamp")) <= days * 86_400_000_000
-    rows = keyed.filter("key is not null and start_ts is not null")
-    return rows.withColumn("src", F.lag("id").over(order)).withColumn("before", F.lag("start_ts").over(order)).filter(F.col("src").isNotNull() & near).select("src", F.col("id").alias("dst"))
+    span = days * 86_400_000_000
+    order = Window.partitionBy("ioc").orderBy("at", "id", F.desc("trusted"))
+    before, after = F.lag("at").over(order), F.lead("at").over(order)
+    near = F.coalesce(F.col("at") - F.col("before") <= span, F.lit(False))
+    rows = rows.filter("id is not null and at is not null").withColumn("before", before).withColumn("after", after).withColumn("again", F.coalesce((F.lag("id").over(order) == F.col("id")) & (F.col("before") == F.col("at")), F.lit(False)))
+    # after the sort, so a repeated task gives the same numbers
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("code", F.max(F.when(~near, F.col("row"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = rows.filter(~F.col("again") & (near | F.coalesce(F.col("after") - F.col("at") <= span, F.lit(False)))).select("id", "at", "trusted", "code")
+    rows = rows.withColumn("all", F.collect_list("code").over(Window.partitionBy("id", "at")))  # an incident's indicators
+    keyed = rows.select("id", "at", "code", F.explode(F.expr("filter(all, c -> c > code or c = code and trusted)")).alias("second"))
+    chain = Window.partitionBy("code", "second").orderBy("at", "id")
+    keyed = keyed.select("id", "at", F.lag("id").over(chain).alias("src"), F.lag("at").over(chain).alias("before"))
+    return keyed.filter((F.col("src") != F.col("id")) & (F.col("at") - F.col("before") <= span)).select("src", F.col("id").alias("dst"))
 
 
 def event_edges(incidents: DataFrame, packages: DataFrame, indicators: DataFrame, days: int = 7) -> DataFrame:
@@ -49,17 +61,17 @@ def event_edges(incidents: DataFrame, packages: DataFrame, indicators: DataFrame
 
     Two indicators of one incident make a key; a circuit breaker on the number
     of indicators bounds those, and only indicators of several incidents count.
+    Indicators that bring their incident's ``start_ts`` and ``source`` aren't
+    joined for them.  An edge may be repeated.
     """
     same = packages.filter("name <> '' and ecosystem <> ''").select(F.lower(F.concat_ws("/", F.lit("pkg"), "ecosystem", "name")).alias("key"), "id")
     same = same.unionByName(incidents.filter("campaign <> ''").select(F.lower(F.concat_ws(":", F.lit("campaign"), "campaign")).alias("key"), "id"))
-    found = indicators.filter("value <> ''").select("id", F.concat_ws(":", F.when(F.col("type").isin("ip", "domain", "url"), F.col("type")).otherwise("hash"), F.when(F.col("type") == "ip", F.col("value")).otherwise(F.lower("value"))).alias("ioc")).distinct()
-    shared = found.join(found.groupBy("ioc").agg(F.count("*").alias("n")).filter("n > 1").select("ioc"), "ioc")
-    dated = shared.join(incidents.select("id", "start_ts", F.col("source").isin(*TRUSTED).alias("trusted")), "id")
-    one = near_chain(dated.filter("trusted").select(F.col("ioc").alias("key"), "id", "start_ts"), days)
-    lists = shared.groupBy("id").agg(F.array_sort(F.collect_set("ioc")).alias("all"))  # an incident's indicators
-    pairs = lists.filter("size(all) > 1").select("id", F.posexplode("all").alias("at", "first"), "all").select("id", "first", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("second"))
-    two = near_chain(pairs.join(incidents.select("id", "start_ts"), "id").select(F.concat_ws("\n", "first", "second").alias("key"), "id", "start_ts"), days)
-    return star_edges(same).unionByName(one).unionByName(two).distinct()
+    found = indicators.filter("value <> ''")
+    if not {"start_ts", "source"} <= set(found.columns):
+        found = found.select("id", "type", "value").join(incidents.select("id", "start_ts", "source"), "id")
+    ioc = F.concat_ws(":", F.when(F.col("type").isin("ip", "domain", "url"), F.col("type")).otherwise("hash"), F.when(F.col("type") == "ip", F.col("value")).otherwise(F.lower("value")))
+    dated = found.select(ioc.alias("ioc"), "id", F.unix_micros(F.col("start_ts").cast("timestamp")).alias("at"), F.coalesce(F.col("source").isin(*TRUSTED), F.lit(False)).alias("trusted"))
+    return star_edges(same).unionByName(shared_edges(dated, days))
 
 
 def _first(column: str, present: str) -> Column:

@@ -12,9 +12,9 @@ TRUSTED = ("wiz", "socket", "aikido", "stepsecurity")
 
 
 def star_edges(keys: DataFrame) -> DataFrame:
-    """From (key, id) the edges of each key's rows to its least: as many as rows, however many share a key."""
+    """From (key, id) the edges of each key's rows to its least: no more than rows, however many share a key; rows with several keys in common repeat them."""
     order = Window.partitionBy("key")
-    return keys.filter("key is not null and key <> ''").withColumn("src", F.min("id").over(order)).filter("src <> id").select("src", F.col("id").alias("dst")).distinct()
+    return keys.filter("key is not null and key <> ''").withColumn("src", F.min("id").over(order)).filter("src <> id").select("src", F.col("id").alias("dst"))
 
 
 def event_edges(incidents: DataFrame, days: int = 7) -> DataFrame:

@@ -119,7 +119,7 @@ def merge_components(spark, d):
 def _chains(rows: DataFrame) -> DataFrame:
     """Edges with the components of ``merge_edges_7d``, fewer than rows."""
     packages = rows.select("id", F.lit("").alias("ecosystem"), F.lit("").alias("name")).limit(0)
-    return entities.event_edges(rows.withColumn("campaign", F.lit("")), packages, rows.select("id", F.col("ioc_type").alias("type"), F.col("ioc").alias("value")))
+    return entities.event_edges(rows.withColumn("campaign", F.lit("")), packages, rows.select("id", "start_ts", "source", F.col("ioc_type").alias("type"), F.col("ioc").alias("value")))
 
 
 @query(f"""WITH RECURSIVE {INC}, {_REACH}, named AS (SELECT id, least(id, coalesce(min(b), id)) AS component FROM inc LEFT JOIN walk ON id = a GROUP BY id),

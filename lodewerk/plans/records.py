@@ -74,7 +74,7 @@ SELECT id, least(id, coalesce(min(b), id)) AS component FROM ev LEFT JOIN walk O
 def event_components(spark, d):
     ev = incidents(spark, d).selectExpr("id", "start_ts", "element_at(array('wiz', 'socket', 'osv'), cast(id % 3 + 1 as int)) as source", "if(id % 5 = 0, concat('Camp ', id div 72), '') as campaign")
     packages = ev.selectExpr("id", "'npm' as ecosystem", "concat('p', id div 4) as name")
-    values = ev.selectExpr("id", "'domain' as type", "explode(array(concat('a', id div 6), concat('b', id div 12), concat('c', id div 18))) as value")
+    values = ev.selectExpr("id", "start_ts", "source", "'domain' as type", "explode(array(concat('a', id div 6), concat('b', id div 12), concat('c', id div 18))) as value")
     return resolve.components(ev, entities.event_edges(ev, packages, values))
 
 

@@ -1,3 +1,4 @@
+import random
 import uuid
 
 import pytest
@@ -59,6 +60,43 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "src bigint, dst bigint")).count() == 0
 
 
+def _least(edges):
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    return {x: root(x) for x in parent}
+
+
+def test_neighbouring_ids_need_no_rounds(spark):
+    edges = [(i, i + 1) for i in range(4000, 4300)] + [(i, i + 2) for i in range(9000, 9100)]
+    got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "src bigint, dst bigint"), max_rounds=1).collect()}
+    assert got == _least(edges)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_components_of_any_ids_and_chunks(spark, chunk):
+    r = random.Random(chunk)
+    near, far = [r.randrange(-9000, 9000) for _ in range(150)], [r.choice([-1, 1]) * r.randrange(1 << 62) for _ in range(90)] + [-(1 << 63), (1 << 63) - 1]
+    edges = [(r.choice(x), r.choice(y)) for x, y in ((near, near), (far, far), (far, far)) for _ in range(60)] + [(-8191, x) for x in far[:9]] + [(i, i + 1) for i in range(20_000, 20_040)]
+    edges = [e for e in edges + edges[:30] if e[0] != e[1]]
+    found = connected_components(spark.createDataFrame(edges, "src bigint, dst bigint").repartition(5), chunk=chunk).collect()
+    assert len(found) == len({x for e in edges for x in e}) and {x.id: x.component for x in found} == _least(edges)
+
+
+def test_components_keep_the_type_of_ids(spark):
+    ints = connected_components(spark.createDataFrame([(3, 2), (2, 1)], "src int, dst int"))
+    assert ints.schema["id"].dataType.typeName() == ints.schema["component"].dataType.typeName() == "integer"
+    assert {tuple(r) for r in ints.collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert {tuple(r) for r in connected_components(spark.createDataFrame([("c", "b"), ("b", "a")], "src string, dst string")).collect()} == {("a", "a"), ("b", "a"), ("c", "a")}
+
+
 def test_merge_is_transitive_and_stars_are_few(spark):
     keys = spark.createDataFrame([("camp", 1), ("camp", 2), ("pkg", 2), ("pkg", 3), ("", 4), (None, 5)], "key string, id bigint")
     assert resolve.star_edges(keys).count() == 2

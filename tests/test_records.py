@@ -54,6 +54,35 @@ def test_events_have_the_components_of_all_pairs(spark):
     assert got == {i: root(i) for i in parent}
 
 
+@pytest.mark.parametrize("brought", [False, True])
+def test_shared_indicators_of_odd_rows(spark, brought):
+    """Missing times and sources, repeated indicators, one indicator in several stretches of time, gaps of a week to the microsecond."""
+    r = random.Random(4)
+    week = 7 * 86_400_000_000
+    rows = [(i, r.choice([None, 0, week, week + 1, 3 * week, r.randrange(4 * week)]), r.choice(["wiz", "socket", "osv", "", None]), [r.choice("uvwxyzUV") + str(r.randrange(8)) for _ in range(r.randrange(5))]) for i in range(90)]
+    inc = spark.createDataFrame([(i, t, s) for i, t, s, _ in rows], "id bigint, t bigint, source string").selectExpr("id", "timestamp_micros(t) as start_ts", "source", "'' as campaign")
+    values = spark.createDataFrame([(i, "domain", v) for i, *_, vs in rows for v in vs] + [(None, "domain", "u1"), (1, "domain", ""), (2, "domain", None)], "id bigint, type string, value string")
+    if brought:
+        values = values.join(inc.select("id", "start_ts", "source"), "id", "left")
+    packages = spark.createDataFrame([], "id bigint, ecosystem string, name string")
+    edges = {tuple(sorted((x.src, x.dst))) for x in entities.event_edges(inc, packages, values).collect()}
+    low = {i: {v.lower() for v in vs} for i, *_, vs in rows}
+    pairs = {
+        (a[0], b[0])
+        for a, b in itertools.combinations(rows, 2)
+        if None not in (a[1], b[1]) and abs(a[1] - b[1]) <= week and len(low[a[0]] & low[b[0]]) >= (1 if {a[2], b[2]} <= set(resolve.TRUSTED) else 2)
+    }
+    assert edges <= pairs  # no edge that isn't a pair, and the same components
+
+    def least(some):
+        name = {i: i for i, *_ in rows}
+        while (new := {i: min([name[i], *(name[b if a == i else a] for a, b in some if i in (a, b))]) for i in name}) != name:
+            name = new
+        return name
+
+    assert least(edges) == least(pairs)
+
+
 def test_three_records_of_one_package(spark):
     """The worst severity, both references, a domain that two sources have, an address that one has."""
     inc = spark.createDataFrame([(1, 1, "wiz", "high", "short", "", "", ""), (2, 1, "osv", "critical", "a longer text", "OSV-1", "", "Camp"), (3, 3, "nvd", "odd", "x", "", "G", "")], "component int, id int, source string, severity string, description string, osv_id string, ghsa_id string, campaign string")
